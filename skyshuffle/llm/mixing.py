@@ -40,7 +40,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
 def _pair(sizes: np.ndarray, copies: np.ndarray, part: np.ndarray, draws: np.ndarray) -> int:
     """Pivotal rounding along one list, in place; the index of the one document left between integers, or -1.
 
-    Two documents with fractions p, q of a copy exchange words: one gains d words, the other loses d, until either
+    Large documents come first, so that the one left over tends to be small. Two documents with fractions p, q of a copy exchange words: one gains d words, the other loses d, until either
     fraction is 0 or 1. Which way is drawn so that every fraction keeps its mean.
     """
     held = -1
@@ -70,7 +70,7 @@ def _pair(sizes: np.ndarray, copies: np.ndarray, part: np.ndarray, draws: np.nda
 
 def _rounder(seed: int, last: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_key", "size"], kind="stable", na_position="last").reset_index(drop=True)
+        pdf = pdf.sort_values(["size", "doc_key"], ascending=[False, True], kind="stable", na_position="last").reset_index(drop=True)
         name = f"{seed}|{pdf['source'].iloc[0]!r}|{pdf['level'].iloc[0]}|{pdf['slot'].iloc[0]}"
         rng = np.random.default_rng(int.from_bytes(hashlib.sha256(name.encode()).digest()[:8], "big"))
         sizes, copies, part = pdf["size"].to_numpy(float), pdf["copies"].to_numpy().copy(), pdf["part"].to_numpy().copy()
