@@ -2,17 +2,20 @@
 
 from .decontaminate import OP9_SQL, op9_decontamination
 from .mixing import op10_mixing
+from .substrings import OP6_SQL, op6_substring_dedup
 from .topk import OP4_SQL, op4_topk
 from .urls import OP7_SQL, op7_url_filter
 
 QUERIES = {
     "op4_topk": op4_topk,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_url_filter": op7_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_mixing": op10_mixing,
 }
 ORACLES = {
     "op4_topk": OP4_SQL,
+    "op6_substring_dedup": OP6_SQL,
     "op7_url_filter": OP7_SQL,
     "op9_decontamination": OP9_SQL,
 }
