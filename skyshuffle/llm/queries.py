@@ -1,12 +1,14 @@
 """The registered queries of this sub-package, and their SQL where SQL can express them."""
 
 from .decontaminate import OP9_SQL, op9_decontamination
+from .jaccard import op3_ngram_jaccard
 from .mixing import op10_mixing
 from .substrings import OP6_SQL, op6_substring_dedup
 from .topk import OP4_SQL, op4_topk
 from .urls import OP7_SQL, op7_url_filter
 
 QUERIES = {
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_topk": op4_topk,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_url_filter": op7_url_filter,
