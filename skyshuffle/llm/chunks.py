@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import pieces, saved, text_bytes
 
-CHUNK_BYTES = 4 << 20
-CHUNK_SCHEMA = "chunk long, doc_ids array<long>, bounds binary, blob binary"
+CHUNK_BYTES = 2 << 20
+CHUNK_SCHEMA = "chunk long, doc_ids array<long>, bounds binary, blob binary, rest binary"
 NO_ID = np.iinfo(np.int64).max  # null doc_ids come after all others
 
 
@@ -31,6 +31,19 @@ def expand(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return squeeze(sink.getvalue().to_pybytes())
+
+
+def rest_of(row: dict) -> pa.RecordBatch:
+    """The other columns that a chunk's rows carry along."""
+    with pa.ipc.open_stream(expand(row["rest"])) as reader:
+        return reader.read_next_batch()
+
+
 def _chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     chunk = TaskContext.get().partitionId() << 32
     for batch in batches:
@@ -38,16 +51,24 @@ def _chunker(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buf, bounds = text_bytes(batch.column(1))
         for i, j in pieces(bounds, CHUNK_BYTES):
             part = bounds[i : j + 1] - bounds[i]
+            rest = pa.record_batch([c[i:j] for c in batch.columns[2:]], batch.schema.names[2:])
             yield pa.record_batch(
-                [pa.array([chunk]), pa.array([batch.column(0)[i:j].to_pylist()], pa.list_(pa.int64())), pa.array([squeeze(part.astype("<i8").tobytes())]), pa.array([squeeze(buf[bounds[i] : bounds[j]].tobytes(), 3)], pa.large_binary()).cast(pa.binary())],
-                ["chunk", "doc_ids", "bounds", "blob"],
+                [pa.array([chunk]), pa.array([batch.column(0)[i:j].to_pylist()], pa.list_(pa.int64())), pa.array([squeeze(part.astype("<i8").tobytes())]), pa.array([squeeze(buf[bounds[i] : bounds[j]].tobytes(), 3)], pa.binary()),
+                 pa.array([_ipc(rest) if rest.num_columns else None], pa.binary())],
+                ["chunk", "doc_ids", "bounds", "blob", "rest"],
             )
             chunk += 1
 
 
-def chunk_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Stored chunks of about CHUNK_BYTES of text, each sorted by doc_id; a longer text is a chunk of its own."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+def chunk_table(docs: DataFrame, doc_id: str, text: str, carry: bool = False) -> DataFrame:
+    """Stored chunks of about CHUNK_BYTES of text, each sorted by doc_id; a longer text is a chunk of its own.
+
+    With carry, chunks also hold whether the text was null and all other columns of docs, under made-up names.
+    """
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+        *([F.col(text).isNull().alias("was_null"), *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c not in (doc_id, text))] if carry else []),
+    )
     return saved(rows.mapInArrow(_chunker, CHUNK_SCHEMA), "chunks")
 
 

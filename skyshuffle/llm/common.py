@@ -27,14 +27,36 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or current.get()
 
 
+#: Paths of the tables that saved() has written in this process.
+TABLES: list[str] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: lineage is cut and lost executors cost nothing."""
+    """Writes df as a table in the shared folder and reads it back: lineage is cut and lost executors cost nothing.
+
+    Results are lazy, so the table stays until drop_tables() is told that nothing reads it any more.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    TABLES.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes stored tables whose readers are done."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in TABLES:
+            TABLES.remove(path)
+
+
+def few(df: DataFrame, rows: int) -> bool:
+    """Whether df has at most so many rows."""
+    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+
+
 def ascii_lower(col):
     """Lower-cases A-Z only."""
     return F.translate(col, UPPER, LOWER)

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import saved, word_count
+from .common import few, saved, word_count
 
+BROADCAST_SOURCES = 100_000  # one row each
 FAN_IN = 2048  # documents, later residuals, that one task pairs
 
 
@@ -121,14 +122,10 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    out = out.join(F.broadcast(plan) if _few(plan) else plan, F.col("source").eqNullSafe(F.col("s")))
+    out = out.join(F.broadcast(plan) if few(plan, BROADCAST_SOURCES) else plan, F.col("source").eqNullSafe(F.col("s")))
     return out.select(F.col("doc_key").alias("doc_id"), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def _few(plan: DataFrame, rows: int = 100_000) -> bool:
-    return len(plan.select(F.lit(1)).take(rows + 1)) <= rows
-
-
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")

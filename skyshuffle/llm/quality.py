@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, mix, words
-from .learning import Adam, by_piece, crc_rest, labelled_sample, softmax, temperature
+from .common import Words, mix, pieces, text_bytes, words
+from .learning import PIECE_BYTES, Adam, by_piece, crc_rest, labelled_sample, softmax, temperature
 
 ROWS = 6000  # labelled documents that are trained on at most
 BUCKETS, DIM, NONZERO, CONTEXT = 4096, 48, 4, 2
@@ -168,6 +170,20 @@ def score_quality(docs: DataFrame, model: QualityModel, doc_id: str = "doc_id",
     return scored.select("doc_id", F.coalesce(crc_rest("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def keep_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
+    """The rows of docs, all columns, whose predicted quality is 1."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buf, bounds = text_bytes(batch.column(at))
+            for i, j in pieces(bounds, PIECE_BYTES):
+                p = model.scores(buf[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
+                yield batch.slice(i, j - i).filter(pa.array(p >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return score_quality(docs, train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

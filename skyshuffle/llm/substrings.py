@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import answered, chunk_table, expand, load, rows_of, squeeze
+from .chunks import answered, chunk_table, expand, load, rest_of, rows_of, squeeze
 from .common import SPACE, Words, pack, pack_sorted, unpack, unpack_sorted, windows, words
 
 WINDOW = 13
@@ -194,6 +194,33 @@ def _reporter(window: int, bins: np.ndarray, keep_text: bool):
     return run
 
 
+def _rewriter(window: int, bins: np.ndarray):
+    """Chunks as rows again, with the texts that lost words replaced."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            ids, as_given, buf, bounds = load(row)
+            found, rest = words(buf, bounds), rest_of(row)
+            kept = ~covered_words(found, ids, window, bins, row["answers"])
+            data, cut = joined_kept(found, kept)
+            changed = np.diff(np.concatenate([[0], np.cumsum(kept)])[found.offsets]) < found.counts
+            raw, was_null = buf.tobytes(), rest.column(0).to_pylist()
+            texts = [None if was_null[k] else data[cut[k] : max(cut[k], cut[k + 1] - 1)].decode() if changed[k] else raw[bounds[k] : bounds[k + 1]].decode() for k in range(len(ids))]
+            yield pa.record_batch([pa.array(as_given, pa.int64()), pa.array(texts, pa.string()), pa.array(changed), *rest.columns[1:]], ["doc_id", "text", "changed", *rest.schema.names[1:]])
+
+    return run
+
+
+def _grown(chunks: DataFrame, window: int) -> tuple[np.ndarray, DataFrame]:
+    """The routing table of a corpus, and its chunks with the answers of all subtrees."""
+    counts = np.zeros((len(_depths(window)), BUCKETS), np.int64)
+    for r in chunks.mapInArrow(_counter(window), "depth int, bucket int, n long").groupBy("depth", "bucket").agg(F.sum("n").alias("n")).collect():
+        counts[r["depth"], r["bucket"]] = r["n"]
+    bins = route(counts)
+    sent = chunks.mapInArrow(_sender(window, bins), "group int, chunk long, low long, leaves binary, owners binary")
+    return bins, answered(chunks, sent.groupBy("group").applyInPandas(_subtree, "chunk long, group int, answer binary"))
+
+
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
     """One row per row of docs: doc_id, n_words, n_removed, kept_sha256 and, with keep_text, the kept words.
 
@@ -204,18 +231,23 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
     columns are not read. The routing table has a fixed size; a window that very many documents hold reaches its bin
     once per chunk.
     """
-    chunks = chunk_table(docs, doc_id, text)
-    depths = len(_depths(window))
-    counts = np.zeros((depths, BUCKETS), np.int64)
-    for r in chunks.mapInArrow(_counter(window), "depth int, bucket int, n long").groupBy("depth", "bucket").agg(F.sum("n").alias("n")).collect():
-        counts[r["depth"], r["bucket"]] = r["n"]
-    bins = route(counts)
-    sent = chunks.mapInArrow(_sender(window, bins), "group int, chunk long, low long, leaves binary, owners binary")
-    answers = sent.groupBy("group").applyInPandas(_subtree, "chunk long, group int, answer binary")
-    out = answered(chunks, answers).mapInArrow(_reporter(window, bins, keep_text), RESULT)
+    bins, chunks = _grown(chunk_table(docs, doc_id, text), window)
+    out = chunks.mapInArrow(_reporter(window, bins, keep_text), RESULT)
     return out if keep_text else out.drop("kept")
 
 
+def remove_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
+    """docs with repeated windows removed as in dedup_substrings, all columns kept, and the name of an added boolean
+    column that tells which texts changed. Those become their kept words joined by one space; others stay as they are."""
+    flag = next(name for name in ("changed", *(f"changed{k}" for k in range(len(docs.columns) + 1))) if name not in docs.columns)
+    bins, chunks = _grown(chunk_table(docs, doc_id, text, carry=True), window)
+    kinds = dict(zip(docs.columns, (f.dataType.simpleString() for f in docs.schema.fields), strict=True))
+    inner = {c: {doc_id: "doc_id", text: "text"}.get(c, f"c{k}") for k, c in enumerate(docs.columns)}
+    schema = ", ".join(["doc_id long", "text string", "changed boolean", *(f"{inner[c]} {kinds[c]}" for c in docs.columns if c not in (doc_id, text))])
+    rows = chunks.mapInArrow(_rewriter(window, bins), schema)
+    return rows.select(*(F.col(inner[c]).cast(kinds[c]).alias(c) for c in docs.columns), F.col("changed").alias(flag)), flag
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
