@@ -1,8 +1,102 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again.
 
-STAGES = []
+A row without doc_id cannot be followed through the stages: the first one drops it. All other rows go on until a stage
+decides against them; null and empty texts pass every filter that their score or links allow.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skyshuffle.llm import common
+from skyshuffle.llm.decontaminate import contamination
+from skyshuffle.llm.jaccard import near_duplicates
+from skyshuffle.llm.mixing import mix_sources
+from skyshuffle.llm.quality import keep_quality, train_quality
+from skyshuffle.llm.substrings import remove_substrings
+
+#: A list of at most so many doc_ids is broadcast; a longer one is joined by shuffle.
+BROADCAST_IDS = 1_000_000
+_OWN: list[str] = []  # tables of the stage before, which are done with once its result is written
+
+
+def _stage(decide: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.drop_tables(spark, [p for p in _OWN if p in common.TABLES])
+        before = set(common.TABLES)
+        out = decide(spark, docs, sf_dir)
+        _OWN[:] = [p for p in common.TABLES if p not in before]
+        return out
+
+    stage.__name__ = decide.__name__
+    return stage
+
+
+def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """docs but those in ids(doc_id)."""
+    ids = common.saved(ids, name)
+    return docs.join(F.broadcast(ids) if common.few(ids, BROADCAST_IDS) else ids, "doc_id", "left_anti")
+
+
+@_stage
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the classifier rejects."""
+    docs = docs.where(F.col("doc_id").isNotNull())
+    return keep_quality(docs, train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@_stage
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest doc_id of each component of near duplicates; of rows that share it, one."""
+    found = common.saved(near_duplicates(docs).select("doc_id", "component_id"), "components-of-documents")
+    repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    kept = _without(docs, found.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
+    if not repeated.take(1):
+        return kept
+    again = common.saved(repeated, "repeated-ids")
+    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+
+
+@_stage
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes repeated passages out of all documents but the first; n_chars follows the text."""
+    out, changed = remove_substrings(docs)
+    length = F.when(F.col(changed), F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", length).select(*docs.columns)
+
+
+@_stage
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that are contaminated with benchmark items."""
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(docs, found.where("contaminated").select("doc_id").distinct(), "contaminated")
+
+
+@_stage
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document."""
+    return mix_sources(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicate", near_duplicate),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+]
+#: A trained network and random rounding decide: tests compare with a brute-force version instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; every result but the last is stored and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = common.saved(docs, f"stage-{name}")
+    return docs
