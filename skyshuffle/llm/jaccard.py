@@ -20,7 +20,7 @@ from .chunks import answered, chunk_table, expand, load, rows_of, squeeze
 from .common import Words, mix, pack, pack_sorted, saved, unpack, unpack_sorted, windows, words
 from .components import components
 
-SHINGLE, GROUPS = 5, 32
+SHINGLE, GROUPS = 5, 256
 PART_SHINGLES = 2_000_000
 SEEDS = 256  # documents of a block in which first links are sought
 SLOT = 4096  # documents of one half of a block in the exact search
@@ -72,7 +72,7 @@ class ShingleSets:
     def counts(self) -> np.ndarray:
         """Shingles of each set in each hash group."""
         cell = self.doc * GROUPS + (self.value & np.uint64(GROUPS - 1)).astype(np.int64)
-        return np.bincount(cell, minlength=len(self.sizes) * GROUPS).reshape(-1, GROUPS).astype(np.uint32)
+        return np.bincount(cell, minlength=len(self.sizes) * GROUPS).reshape(-1, GROUPS).astype(np.int32)
 
 
 class CountTree:
@@ -81,7 +81,7 @@ class CountTree:
     LEAF = 16
 
     def __init__(self, points: np.ndarray):
-        self.points, self.sizes = points.astype(np.int64), points.sum(1).astype(np.int64)
+        self.points, self.sizes = points, points.sum(1).astype(np.int64)
         wide = np.argsort(-self.points.std(0), kind="stable")[:2] if len(points) else [0, 0]
         by_size = np.argsort(self.sizes, kind="stable")
         self.order = np.concatenate([s[np.lexsort((self.points[s][:, wide[1]], self.points[s][:, wide[0]]))] for s in np.array_split(by_size, max(1, len(points) // (self.LEAF * self.LEAF)))]) if len(points) else by_size
@@ -179,7 +179,7 @@ def _describer(parts: int, bits: int):
                 for d in np.flatnonzero(shared).tolist():
                     rare[d] = sets.value[mine[cut[d] : cut[d] + prefix[d] - lone[d]]].view(np.int64)
                     seeds[d] = np.array([seed1[d], seed2[d]]).view(np.int64)
-                    counts[d] = vectors[d].tobytes()
+                    counts[d] = squeeze(vectors[d].tobytes())
                     body[d] = squeeze(buf[bounds[d] : bounds[d + 1]].tobytes(), 3)
             longs = pa.list_(pa.int64())
             yield pa.record_batch(
@@ -213,7 +213,7 @@ def _first_links(pdf: pd.DataFrame) -> pd.DataFrame:
 
     links = []
     for k in range(len(pdf)):
-        near = tree.search(points[k].astype(np.int64), int(sets.sizes[k]))
+        near = tree.search(points[k], int(sets.sizes[k]))
         for other in np.sort(near[near < k]).tolist():
             if find(other) != find(k) and overlap(sets.of(k), sets.of(other)) >= needed(int(sets.sizes[k]), int(sets.sizes[other])):
                 root[max(find(k), find(other))] = min(find(k), find(other))
@@ -221,34 +221,52 @@ def _first_links(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def _possible_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of different components that a block's R-tree lets through. Rows come sorted by block."""
+def _possible_pairs(probe: bool):
+    """Pairs of different components that a block's R-tree lets through. Rows come sorted by block.
+
+    As a probe, it gives of all pairs of two components the one with the largest overlap bound; joining components that
+    way first leaves the exact search little to find.
+    """
 
     def pairs(block: pd.DataFrame):
-        points = np.frombuffer(b"".join(block["counts"]), np.uint32).reshape(-1, GROUPS).astype(np.int64)
+        points = np.frombuffer(b"".join(expand(c) for c in block["counts"]), np.int32).reshape(-1, GROUPS)
         node, label, slot = (block[c].to_numpy() for c in ("node", "label", "slot"))
         size, halves = points.sum(1), len(set(slot.tolist())) > 1
-        tree = CountTree(points)
+        tree, best = CountTree(points), {}
         for k in range(len(block)):
             near = tree.search(points[k], int(size[k]))
             near = near[(node[near] < node[k]) & (label[near] != label[k])]
             if halves:  # pairs within one half are another task's
                 near = near[slot[near] != slot[k]]
-            if len(near):
+            if not len(near):
+                continue
+            if not probe:
                 yield np.full(len(near), node[k]), node[near]
-
-    rest = None
-    for frame in frames:
-        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-        key = frame[["shingle", "left", "right"]].to_numpy()
-        cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1]) if len(frame) else np.zeros(1, np.int64)
-        found = [p for a, b in zip(cuts[:-1], cuts[1:], strict=True) for p in pairs(frame.iloc[a:b])]
-        rest = frame.iloc[cuts[-1] :].reset_index(drop=True)
+                continue
+            share = np.minimum(points[near], points[k]).sum(1) / (size[near] + size[k])
+            for other in near[np.argsort(-share, kind="stable")].tolist():
+                both = (min(label[k], label[other]), max(label[k], label[other]))
+                found = float(np.minimum(points[other], points[k]).sum() / (size[other] + size[k]))
+                if found > best.get(both, (0.0,))[0]:
+                    best[both] = (found, node[k], node[other])
+        if best:
+            yield np.array([x[1] for x in best.values()]), np.array([x[2] for x in best.values()])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for frame in frames:
+            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            key = frame[["shingle", "left", "right"]].to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1]) if len(frame) else np.zeros(1, np.int64)
+            found = [p for a, b in zip(cuts[:-1], cuts[1:], strict=True) for p in pairs(frame.iloc[a:b])]
+            rest = frame.iloc[cuts[-1] :].reset_index(drop=True)
+            if found:
+                yield pd.DataFrame({"a": np.concatenate([p[0] for p in found]), "b": np.concatenate([p[1] for p in found])}).drop_duplicates()
+        found = list(pairs(rest)) if rest is not None and len(rest) else []
         if found:
-            yield pd.DataFrame({"a": np.concatenate([p[0] for p in found]), "b": np.concatenate([p[1] for p in found])}).drop_duplicates()
-    found = list(pairs(rest)) if rest is not None and len(rest) else []
-    if found:
-        yield pd.DataFrame({"a": np.concatenate([p[0] for p in found]), "b": np.concatenate([p[1] for p in found])})
+            yield pd.DataFrame({"a": np.concatenate([p[0] for p in found]), "b": np.concatenate([p[1] for p in found])})
+
+    return run
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,6 +278,22 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _links(possible: DataFrame, joined: DataFrame, probe: bool) -> DataFrame:
+    """Verified links between documents that joined(node, component) does not yet hold together: all, or as a probe some."""
+    labels = possible.select("node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
+    entries = possible.select("node", F.explode("rare").alias("shingle")).join(labels, "node")
+    mixed = entries.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x <> y")
+    slots = F.ceil(F.col("m") / SLOT).cast("int")
+    entries = entries.join(mixed.select("shingle", slots.alias("slots")), "shingle").withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
+    halves = F.explode(F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda o: F.struct(F.least(o, "slot").alias("left"), F.greatest(o, "slot").alias("right"))))
+    blocks = entries.withColumn("h", halves).select("shingle", "node", "label", "slot", "h.left", "h.right").join(possible.select("node", "counts"), "node")
+    blocks = blocks.repartition("shingle", "left", "right").sortWithinPartitions("shingle", "left", "right")
+    pairs = saved(blocks.mapInPandas(_possible_pairs(probe), "a long, b long").distinct(), "possible-pairs")
+    body = possible.select("node", "body")
+    wanted = pairs.join(body.toDF("a", "body_a"), "a").join(body.toDF("b", "body_b"), "b").select("a", "b", "body_a", "body_b")
+    return saved(wanted.mapInArrow(_verify, "a long, b long"), "links")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id.
 
@@ -291,19 +325,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     seeds = seeds.join(crowd, "seed").withColumn("salt", F.pmod(F.xxhash64("node", "seed"), F.ceil(F.col("m") / SEEDS)))
     first = saved(seeds.join(possible.select("node", "body"), "node").select("node", "seed", "salt", "body").groupBy("seed", "salt").applyInPandas(_first_links, "a long, b long"), "first-links")
     joined = components(first)
-
-    labels = possible.select("node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
-    entries = possible.select("node", F.explode("rare").alias("shingle")).join(labels, "node")
-    mixed = entries.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x <> y")
-    slots = F.ceil(F.col("m") / SLOT).cast("int")
-    entries = entries.join(mixed.select("shingle", slots.alias("slots")), "shingle").withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
-    halves = F.explode(F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda o: F.struct(F.least(o, "slot").alias("left"), F.greatest(o, "slot").alias("right"))))
-    blocks = entries.withColumn("h", halves).select("shingle", "node", "label", "slot", "h.left", "h.right").join(possible.select("node", "counts"), "node")
-    blocks = blocks.repartition("shingle", "left", "right").sortWithinPartitions("shingle", "left", "right")
-    pairs = saved(blocks.mapInPandas(_possible_pairs, "a long, b long").distinct(), "possible-pairs")
-    body = possible.select("node", "body")
-    wanted = pairs.join(body.toDF("a", "body_a"), "a").join(body.toDF("b", "body_b"), "b").select("a", "b", "body_a", "body_b")
-    links = wanted.mapInArrow(_verify, "a long, b long")
+    links = _links(possible, joined, probe=True)
+    joined = components(joined.toDF("a", "b").unionByName(links))
+    links = _links(possible, joined, probe=False)
     same_id = known.select("doc_id", "s1", "s2", "n").join(classes, ["s1", "s2", "n"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     doubled = known.groupBy("doc_id").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y").select(F.col("doc_id").alias("a"))
     edges = joined.toDF("a", "b").unionByName(links).unionByName(same_id.join(doubled, "a", "left_semi"))
