@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from .constants import MORTON_BITS, WORLD_HALF_SIZE_PC
 
-#: Masks that spread 21 bits to every third place, and the shifts between them.
-SPREAD = ((32, 0x1F00000000FFFF), (16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00F), (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249))
-
-
 def shift_left(column: Column, by: Column | int) -> Column:
     return F.call_function("shiftleft", column, F.lit(by).cast("int") if isinstance(by, int) else by.cast("int"))
 
@@ -25,18 +21,26 @@ def quantise(axis: Column, half_size: float = WORLD_HALF_SIZE_PC) -> Column:
     return F.least(F.greatest(F.floor((axis + F.lit(half_size)) * F.lit(top / (2 * half_size))), F.lit(0)), F.lit(top - 1)).cast("long")
 
 
+#: Masks that hold 21 bits ever further apart, down to every third place, and the shifts between them.
+ROUNDS = ((32, 0x1F00000000FFFF), (16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00F), (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249))
+
+
 def spread(value: Column) -> Column:
-    for by, mask in SPREAD:
+    """21 bits to every third place. Meant for projections, where code generation evaluates each repeated term once."""
+    for by, mask in ROUNDS:
         value = value.bitwiseOR(shift_left(value, by)).bitwiseAND(F.lit(mask))
     return value
 
 
 def gather(value: Column) -> Column:
-    """The inverse of spread: every third bit."""
-    value = value.bitwiseAND(F.lit(SPREAD[-1][1]))
-    for k in range(len(SPREAD) - 1, 0, -1):
-        value = value.bitwiseOR(shift_right(value, SPREAD[k][0])).bitwiseAND(F.lit(SPREAD[k - 1][1]))
-    return value.bitwiseOR(shift_right(value, SPREAD[0][0])).bitwiseAND(F.lit((1 << MORTON_BITS) - 1))
+    """The inverse of spread. Each round is bound to a name by a one-element transform: predicates are pushed down by
+    inlining, and without names a five-round term would be repeated 32 times."""
+    held = F.array(value.bitwiseAND(F.lit(ROUNDS[-1][1])))
+    masks = [mask for _, mask in ROUNDS[-2::-1]] + [(1 << MORTON_BITS) - 1]
+    closer = lambda by, mask: lambda v: v.bitwiseOR(F.shiftright(v, by)).bitwiseAND(F.lit(mask))
+    for (by, _), mask in zip(ROUNDS[::-1], masks, strict=True):
+        held = F.transform(held, closer(by, mask))
+    return F.get(held, F.lit(0))
 
 
 def morton_code(x: Column, y: Column, z: Column, half_size: float = WORLD_HALF_SIZE_PC) -> Column:

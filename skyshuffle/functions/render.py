@@ -17,9 +17,13 @@ def cell_half(level: Column, half_size: float = WORLD_HALF_SIZE_PC) -> Column:
     return F.greatest(F.lit(half_size) / F.pow(F.lit(2.0), level), F.lit(1e-20))
 
 
+def grid_center(place: Column, level: Column, axis: int, half_size: float = WORLD_HALF_SIZE_PC) -> Column:
+    """Centre of the cell at a grid place of its level."""
+    return F.lit(WORLD_CENTER[axis]) + (place.cast("double") + F.lit(0.5)) * (F.lit(2.0) * cell_half(level, half_size)) - F.lit(half_size)
+
+
 def cell_center(node: Column, level: Column, axis: int, half_size: float = WORLD_HALF_SIZE_PC) -> Column:
-    half = cell_half(level, half_size)
-    return F.lit(WORLD_CENTER[axis]) + (grid(node, axis).cast("double") + F.lit(0.5)) * (F.lit(2.0) * half) - F.lit(half_size)
+    return grid_center(grid(node, axis), level, axis, half_size)
 
 
 def relative(position: Column, center: Column, half: Column) -> Column:
@@ -61,4 +65,4 @@ def load_radius(half: Column, magnitude: float, mag_limit: float) -> Column:
     return half * F.lit(10.0 ** ((magnitude - mag_limit) / 5.0))
 
 
-__all__ = ["AXES", "STAR_BYTES", "apparent_magnitude", "box_distance", "cell_center", "cell_half", "centi_magnitude", "decode_teff", "distance", "encode_teff", "load_radius", "relative"]
+__all__ = ["AXES", "STAR_BYTES", "apparent_magnitude", "box_distance", "cell_center", "cell_half", "grid_center", "centi_magnitude", "decode_teff", "distance", "encode_teff", "load_radius", "relative"]

@@ -35,9 +35,10 @@ def with_node(df: DataFrame) -> DataFrame:
 
 def with_render_fields(df: DataFrame, levels: Levels) -> DataFrame:
     """Adds the fields that the 16 bytes of a star hold: rel_x, rel_y, rel_z, mag_centi, teff8."""
-    level, node = F.col("level"), F.col("node_id")
+    level = F.col("level")
     half = R.cell_half(level, levels.half_size)
-    rel = {f"rel_{a}": R.relative(F.col(POSITION[k]), R.cell_center(node, level, k, levels.half_size), half) for k, a in enumerate(R.AXES)}
+    place = [M.shift_right(M.quantise(F.col(c), levels.half_size), F.lit(M.MORTON_BITS) - level) for c in POSITION]
+    rel = {f"rel_{a}": R.relative(F.col(POSITION[k]), R.grid_center(place[k], level, k, levels.half_size), half) for k, a in enumerate(R.AXES)}
     mag = R.centi_magnitude(finite(F.col("mag_abs"), UNKNOWN_MAG))
     return df.withColumns(rel | {"mag_centi": mag, "teff8": R.encode_teff(finite(F.col("teff"), UNKNOWN_TEFF))})
 
