@@ -244,7 +244,7 @@ def read_header(path: str) -> fmt.OctreeHeader:
     return header
 
 
-def _shard(f: Ranges, offset: int):
+def shard_at(f: Ranges, offset: int):
     raw = fmt.SHARD_HEADER.unpack(f.read(offset, fmt.SHARD_HEADER.size))
     if raw[0] != b"OSHR" or raw[1] != 1:
         raise ValueError(f"No index shard at {offset}: {raw[0]!r}")
@@ -254,7 +254,7 @@ def _shard(f: Ranges, offset: int):
     return raw[9], raw[10:13], nodes, refs
 
 
-def _node_of(grid: tuple[int, ...], level: int) -> int:
+def node_at(grid: tuple[int, ...], level: int) -> int:
     return sum(((grid[a] >> b) & 1) << (3 * b + a) for b in range(level) for a in range(3))
 
 
@@ -268,8 +268,8 @@ def _shard_reader(path: str):
         with Ranges(path) as f:
             for batch in batches:
                 for offset in batch.column(0).to_pylist():
-                    parent, grid, nodes, refs = _shard(f, offset)
-                    above, rest = _node_of(grid, max(0, parent)), iter(refs)
+                    parent, grid, nodes, refs = shard_at(f, offset)
+                    above, rest = node_at(grid, max(0, parent)), iter(refs)
                     rows = [(parent + depth, (above << (3 * depth)) | path_, mask, flags, at, size, next(rest) if depth == LEVELS_PER_SHARD else 0) for _, path_, mask, depth, flags, _, at, size in nodes]
                     yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
 

@@ -53,6 +53,16 @@ def test_octree_round_trip(spark, built):
     assert artifacts.read_header(path).dataset_uuid == header.dataset_uuid
 
 
+def test_data_source(spark, built):
+    from skyshuffle.sources.datasource import register
+
+    register(spark)
+    path = str(built[0].paths["stage02_output_path"])
+    nodes, stars = (spark.read.format("octree").option("what", w).load(path) for w in ("nodes", "stars"))
+    for a, b in ((nodes, artifacts.read_nodes(spark, path)), (stars, artifacts.read_stars(spark, path))):
+        assert a.count() == b.count() > 0 and a.exceptAll(b.select(*a.columns)).count() == 0
+
+
 def test_identities_and_sidecar_share_the_order(spark, built):
     project, header, paths, rows = built
     got = artifacts.read_identities(spark, str(project.paths["identifiers_order_output_path"]))
