@@ -22,11 +22,18 @@ POSITION = REQUIRED[:3]
 
 
 def with_level(df: DataFrame, levels: Levels) -> DataFrame:
-    return df.withColumn("level", levels.column(finite(F.col("mag_abs"), UNKNOWN_MAG)))
+    """Adds the level. The magnitude is named first: a term used many times in one projection is not inlined again."""
+    return df.withColumn("__mag", finite(F.col("mag_abs"), UNKNOWN_MAG)).withColumn("level", levels.column(F.col("__mag"))).drop("__mag")
 
 
 def with_morton(df: DataFrame, levels: Levels) -> DataFrame:
-    return df.withColumn("morton_code", M.morton_code(*(F.col(c) for c in POSITION), levels.half_size))
+    """Adds the Morton code, one projection a round: each names its input, so the plan grows with the rounds, not by 2^rounds."""
+    names = [f"__{a}" for a in R.AXES]
+    df = df.withColumns({n: M.quantise(F.col(c), levels.half_size) for n, c in zip(names, POSITION, strict=True)})
+    for by, mask in M.ROUNDS:
+        df = df.withColumns({n: F.col(n).bitwiseOR(F.shiftleft(n, by)).bitwiseAND(F.lit(mask)) for n in names})
+    code = F.col(names[0]).bitwiseOR(F.shiftleft(names[1], 1)).bitwiseOR(F.shiftleft(names[2], 2))
+    return df.withColumn("morton_code", code).drop(*names)
 
 
 def with_node(df: DataFrame) -> DataFrame:
