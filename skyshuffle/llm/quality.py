@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ ROWS = 6000  # labelled documents that are trained on at most
 BUCKETS, DIM, NONZERO, CONTEXT = 4096, 48, 4, 2
 SHAPES, RELATIONS = 1024, 8
 HIDDEN = 32
+FIT_BYTES = 1 << 18  # text that training holds words of at once
+BLOCK = 256  # documents whose symbols are counted at once
 THRESHOLD = 0.7
 
 
@@ -30,7 +33,7 @@ def _index_vectors(n: int, seed: int) -> np.ndarray:
 
 def _class_table() -> np.ndarray:
     """Classes of bytes: 0 lower, 1 upper, 2 digit, 3 other ASCII, 4 non-ASCII."""
-    table = np.full(256, 3, np.int64)
+    table = np.full(256, 3, np.uint8)
     table[97:123], table[65:91], table[48:58], table[128:] = 0, 1, 2, 4
     return table
 
@@ -44,9 +47,8 @@ def _symbols(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bucket = (found.hashes >> np.uint64(64 - 12)).astype(np.int64)
     if not n:
         return bucket, bucket, bucket
-    runs = np.concatenate([[0], np.cumsum(np.eye(5, dtype=np.int32)[_CLASSES[found.buf]], axis=0, dtype=np.int32)[:, 3]])
-    upper = np.concatenate([[0], np.cumsum(_CLASSES[found.buf] == 1, dtype=np.int32)])
-    digits = np.concatenate([[0], np.cumsum(_CLASSES[found.buf] == 2, dtype=np.int32)])
+    classes = _CLASSES[found.buf]
+    runs, upper, digits = (np.concatenate([[0], np.cumsum(classes == c, dtype=np.int32)]) for c in (3, 1, 2))
     length = np.minimum(found.ends - found.starts, 63)
     count = lambda c: np.minimum(c[found.ends] - c[found.starts], 3)
     last = found.buf[found.ends - 1].astype(np.int64)
@@ -62,10 +64,30 @@ def _symbols(found: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pooled(docs: int, doc: np.ndarray, symbol: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Mean vector of each document's symbols."""
-    width = len(vectors)
-    counts = np.bincount(doc * width + symbol, minlength=docs * width).reshape(docs, width).astype(np.float32)
-    return counts @ vectors / np.maximum(counts.sum(1, keepdims=True), 1)
+    """Mean vector of each document's symbols; doc ascends. Documents are counted in blocks, however short they are."""
+    width, out = len(vectors), np.empty((docs, vectors.shape[1]), vectors.dtype)
+    for s in range(0, docs, BLOCK):
+        e = min(docs, s + BLOCK)
+        a, b = np.searchsorted(doc, [s, e])
+        cell = (doc[a:b].astype(np.int64) - s) * width + symbol[a:b]
+        counts = np.bincount(cell, minlength=(e - s) * width).reshape(-1, width).astype(np.float32)
+        out[s:e] = counts @ vectors / np.maximum(counts.sum(1, keepdims=True), 1)
+    return out
+
+
+class Sample(NamedTuple):
+    """Symbols of some texts in few bytes: text, word, shape and repetition of each word; words per text."""
+
+    doc: np.ndarray
+    bucket: np.ndarray
+    shape: np.ndarray
+    relation: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, found: Words) -> Sample:
+        bucket, shape, relation = _symbols(found)
+        return cls(found.doc.astype(np.int32), bucket.astype(np.uint16), shape.astype(np.uint16), relation.astype(np.uint8), found.counts)
 
 
 class QualityModel:
@@ -79,11 +101,10 @@ class QualityModel:
         self.mean = self.spread = None
         self.temperature, self.prior = 1.0, 1.0
 
-    def _features(self, found: Words) -> np.ndarray:
-        n = len(found.counts)
-        bucket, shape, relation = _symbols(found)
-        word = _pooled(n, found.doc, bucket, self.words)
-        parts = [word, np.sqrt((word * word).sum(1, keepdims=True)), _pooled(n, found.doc, shape, self.shapes), _pooled(n, found.doc, relation, self.relations), np.log1p(found.counts)[:, None]]
+    def _features(self, own: Sample) -> np.ndarray:
+        n = len(own.counts)
+        word = _pooled(n, own.doc, own.bucket, self.words)
+        parts = [word, np.sqrt((word * word).sum(1, keepdims=True)), _pooled(n, own.doc, own.shape, self.shapes), _pooled(n, own.doc, own.relation, self.relations), np.log1p(own.counts)[:, None]]
         return np.concatenate(parts, 1).astype(np.float32)
 
     def _context(self, symbols: list[np.ndarray], docs: list[np.ndarray], size: int, seed: int) -> np.ndarray:
@@ -110,16 +131,13 @@ class QualityModel:
         if len(set(gold.tolist())) < 2:  # nothing to tell apart: every score is the share of label 1
             self.prior, self.words = (float(gold.mean()) if len(gold) else 1.0), None
             return self
-        batches = []
-        for s in range(0, len(sample), 200):
-            text = [t.encode() for t, _ in sample[s : s + 200]]
-            bounds = np.concatenate([[0], np.cumsum([len(t) for t in text])]).astype(np.int64)
-            batches.append(words(np.frombuffer(b"".join(text), np.uint8), bounds, lower=True))
-        symbols = [_symbols(found) for found in batches]
-        docs = [found.doc for found in batches]
-        self.words = self._context([s[0] for s in symbols], docs, BUCKETS, self.seed)
-        self.shapes = self._context([s[1] for s in symbols], docs, SHAPES, self.seed + 1)
-        x = np.concatenate([self._features(found) for found in batches])
+        buf, bounds = text_bytes(pa.array([t for t, _ in sample], pa.large_string()))
+        batches = [Sample.of(words(buf[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], lower=True)) for i, j in pieces(bounds, FIT_BYTES)]
+        del buf, bounds
+        self.words = self._context([b.bucket for b in batches], [b.doc for b in batches], BUCKETS, self.seed)
+        self.shapes = self._context([b.shape for b in batches], [b.doc for b in batches], SHAPES, self.seed + 1)
+        x = np.concatenate([self._features(b) for b in batches])
+        del batches
         order = rng.permutation(len(x))
         back, train = order[: len(x) // 5], order[len(x) // 5 :]
         self.mean, self.spread = x[train].mean(0), x[train].std(0) + 1e-3
@@ -144,7 +162,7 @@ class QualityModel:
         if self.words is None:
             return np.full(len(bounds) - 1, self.prior)
         # shape needs upper case, identity does not
-        return softmax(self._logits(self._features(words(buf, bounds, lower=True))) / self.temperature)[:, 1].astype(np.float64)
+        return softmax(self._logits(self._features(Sample.of(words(buf, bounds, lower=True)))) / self.temperature)[:, 1].astype(np.float64)
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, rows: int = ROWS, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> QualityModel:
