@@ -72,6 +72,7 @@ def word_count(col):
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: list[np.ndarray] = []
+HASH_BYTES = 1 << 19  # text that is hashed at once: a worker that is used again keeps what it once allocated
 
 
 def _geometric(ratio: int, n: int) -> np.ndarray:
@@ -85,7 +86,7 @@ def _geometric(ratio: int, n: int) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if n > 1 << 22:  # one very long document: nothing so large is kept
+    if n > HASH_BYTES:  # one very long word: nothing so large is kept
         return _geometric(_BASE, n), _geometric(_INVERSE, n)
     if not _POWERS or len(_POWERS[0]) < n:
         size = 1 << max(16, (n - 1).bit_length())
@@ -147,14 +148,19 @@ def words(buf: np.ndarray, bounds: np.ndarray, table: np.ndarray = SPACE, lower:
     first[edge] = inside[edge]
     last[edge - 1] = inside[edge - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = _powers(n + 1)
-    total = np.empty(n + 1, np.uint64)
-    total[0] = 0
-    weighted = (_LOWERED if lower else _CASED)[buf]
-    weighted *= up[:n]
-    np.cumsum(weighted, out=total[1:])
-    hashes = total[ends] - total[starts]
-    hashes *= down[starts]
+    hashes, values = np.empty(len(starts), np.uint64), _LOWERED if lower else _CASED
+    a = 0
+    while a < len(starts):  # a word's hash does not depend on where it stands, so runs of words are hashed one by one
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + HASH_BYTES - 1, "right")))
+        low, size = starts[a], int(ends[b - 1] - starts[a])
+        up, down = _powers(size + 1)
+        total = np.empty(size + 1, np.uint64)
+        total[0] = 0
+        weighted = values[buf[low : low + size]]
+        weighted *= up[:size]
+        np.cumsum(weighted, out=total[1:])
+        hashes[a:b] = (total[ends[a:b] - low] - total[starts[a:b] - low]) * down[starts[a:b] - low]
+        a = b
     hashes += (ends - starts).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)
     counts = np.diff(np.searchsorted(starts, bounds))
     return Words(buf, starts, ends, mix(hashes), np.repeat(np.arange(len(counts)), counts), counts)
