@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, saved, text_bytes
+from .common import map_batches, pieces, saved, text_bytes
 
 CHUNK_BYTES = 2 << 20
 CHUNK_SCHEMA = "chunk long, doc_ids array<long>, bounds binary, blob binary, rest binary"
@@ -69,7 +69,7 @@ def chunk_table(docs: DataFrame, doc_id: str, text: str, carry: bool = False) ->
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
         *([F.col(text).isNull().alias("was_null"), *(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c not in (doc_id, text))] if carry else []),
     )
-    return saved(rows.mapInArrow(_chunker, CHUNK_SCHEMA), "chunks")
+    return saved(map_batches(rows, _chunker, CHUNK_SCHEMA), "chunks")
 
 
 def load(row: dict) -> tuple[np.ndarray, list, np.ndarray, np.ndarray]:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -179,6 +182,50 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
 
 # --- Arrow and packing -------------------------------------------------------------------------------------------
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20  # of one Arrow batch, where the cluster does not say otherwise; a longer text is a batch of its own
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run over batches; a worker that is used again keeps nothing of what the task has freed."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return wrapped
+
+
+def lean_group(run: Callable) -> Callable:
+    """The same for a function of one large group."""
+
+    @functools.wraps(run)
+    def wrapped(group):
+        try:
+            return run(group)
+        finally:
+            _give_back()
+
+    return wrapped
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """df.mapInArrow in batches of bounded size, with lean workers. The session setting stays, as results are lazy."""
+    spark = df.sparkSession
+    if spark.sparkContext.getConf().get(BATCH_SETTING) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(lean(run), schema)
+
 
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of an Arrow string column and the bounds of each value; null is empty."""

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, pack_sorted, pieces, saved, text_bytes, unpack, words
+from .common import ALNUM, map_batches, pack_sorted, pieces, saved, text_bytes, unpack, words
 
 WINDOW = 13
 SEGMENT_BYTES = 4 << 20
@@ -63,7 +63,7 @@ def _indexer(vocabulary: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch
 def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The stored index of docs; of the given sorted term hashes only, or of all terms."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return saved(rows.mapInArrow(_indexer(vocabulary), INDEX_SCHEMA), "positional-index")
+    return saved(map_batches(rows, _indexer(vocabulary), INDEX_SCHEMA), "positional-index")
 
 
 class Phrases:
@@ -213,7 +213,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc_i
     hits = None
     for k, block in enumerate(blocks):
         phrases = first if len(blocks) == 1 else Phrases([(r["i"], r["t"]) for r in block.collect()], window)
-        part = index.mapInArrow(_searcher(phrases), HIT_SCHEMA)
+        part = map_batches(index, _searcher(phrases), HIT_SCHEMA)
         hits = part if hits is None else hits.unionByName(part)
     if len(blocks) > 1:
         hits = hits.groupBy("segment", "place", "doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
@@ -247,7 +247,7 @@ def proximity(docs: DataFrame, items: DataFrame, slop: int, window: int = WINDOW
 
     index, out = build_index(docs, None, doc_id, text), None
     for block in _item_blocks(items, item_id, item_text):
-        part = index.mapInArrow(searcher(Phrases([(r["i"], r["t"]) for r in block.collect()], window)), "doc_id long, item_id string, position long")
+        part = map_batches(index, searcher(Phrases([(r["i"], r["t"]) for r in block.collect()], window)), "doc_id long, item_id string, position long")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import map_batches
 from .learning import Adam
 from .markup import Block, blocks
 
@@ -298,7 +299,7 @@ def extract_main_text(pages: DataFrame, labeller: BlockLabeller, url: str = "url
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
-    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return map_batches(rows, run, "page_id long, url string, text string, n_chars long")
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import answered, chunk_table, expand, load, rows_of, squeeze
-from .common import Words, mix, pack, pack_sorted, saved, unpack, unpack_sorted, windows, words
+from .common import Words, lean, lean_group, map_batches, mix, pack, pack_sorted, saved, unpack, unpack_sorted, windows, words
 from .components import components
 
 SHINGLE, GROUPS = 5, 256
@@ -288,10 +288,10 @@ def _links(possible: DataFrame, joined: DataFrame, probe: bool) -> DataFrame:
     halves = F.explode(F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda o: F.struct(F.least(o, "slot").alias("left"), F.greatest(o, "slot").alias("right"))))
     blocks = entries.withColumn("h", halves).select("shingle", "node", "label", "slot", "h.left", "h.right").join(possible.select("node", "counts"), "node")
     blocks = blocks.repartition("shingle", "left", "right").sortWithinPartitions("shingle", "left", "right")
-    pairs = saved(blocks.mapInPandas(_possible_pairs(probe), "a long, b long").distinct(), "possible-pairs")
+    pairs = saved(blocks.mapInPandas(lean(_possible_pairs(probe)), "a long, b long").distinct(), "possible-pairs")
     body = possible.select("node", "body")
     wanted = pairs.join(body.toDF("a", "body_a"), "a").join(body.toDF("b", "body_b"), "b").select("a", "b", "body_a", "body_b")
-    return saved(wanted.mapInArrow(_verify, "a long, b long"), "links")
+    return saved(map_batches(wanted, _verify, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -309,9 +309,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     chunks = chunk_table(docs, doc_id, text)
     expected = max(1, (chunks.agg(F.sum(F.length("blob"))).first()[0] or 0) // 3)  # words
     parts, bits = -(-expected // PART_SHINGLES), min(60, max(36, expected.bit_length() + 13))
-    sent = chunks.mapInArrow(_sender(parts, bits), "group int, chunk long, shingles binary, counts binary")
-    rarity = sent.groupBy("group").applyInPandas(_rarity, "chunk long, group int, answer binary")
-    nodes = saved(answered(chunks, rarity).mapInArrow(_describer(parts, bits), NODES), "shingle-nodes")
+    sent = map_batches(chunks, _sender(parts, bits), "group int, chunk long, shingles binary, counts binary")
+    rarity = sent.groupBy("group").applyInPandas(lean_group(_rarity), "chunk long, group int, answer binary")
+    nodes = saved(map_batches(answered(chunks, rarity), _describer(parts, bits), NODES), "shingle-nodes")
 
     known = nodes.where("doc_id is not null and n > 0")
     classes = known.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"))

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import map_batches
 from .learning import Adam, by_piece, crc_rest, labelled_sample, softmax
 
 ROWS = 2500  # documents that are trained on at most
@@ -155,7 +156,7 @@ def identify_language(docs: DataFrame, network: ByteNetwork, doc_id: str = "doc_
         return [pa.array(langs, pa.string()), pa.array(p)]
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = rows.mapInArrow(by_piece(score, ["doc_id", "lang_pred", "score"]), "doc_id long, lang_pred string, score double")
+    found = map_batches(rows, by_piece(score, ["doc_id", "lang_pred", "score"]), "doc_id long, lang_pred string, score double")
     return found.select("doc_id", F.coalesce(crc_rest("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 

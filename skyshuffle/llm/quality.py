@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, mix, pieces, text_bytes, words
+from .common import Words, map_batches, mix, pieces, text_bytes, words
 from .learning import PIECE_BYTES, Adam, by_piece, crc_rest, labelled_sample, softmax, temperature
 
 ROWS = 6000  # labelled documents that are trained on at most
@@ -184,7 +184,7 @@ def score_quality(docs: DataFrame, model: QualityModel, doc_id: str = "doc_id",
         return [pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))]
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    scored = rows.mapInArrow(by_piece(score, ["doc_id", "score", "predicted"]), "doc_id long, score double, predicted int")
+    scored = map_batches(rows, by_piece(score, ["doc_id", "score", "predicted"]), "doc_id long, score double, predicted int")
     return scored.select("doc_id", F.coalesce(crc_rest("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
@@ -199,7 +199,7 @@ def keep_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> Da
                 p = model.scores(buf[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
                 yield batch.slice(i, j - i).filter(pa.array(p >= THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

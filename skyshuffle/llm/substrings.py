@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import answered, chunk_table, expand, load, rest_of, rows_of, squeeze
-from .common import SPACE, Words, pack, pack_sorted, unpack, unpack_sorted, windows, words
+from .common import SPACE, Words, lean_group, map_batches, pack, pack_sorted, unpack, unpack_sorted, windows, words
 
 WINDOW = 13
 BIN_SUFFIXES = 2_000_000  # suffixes that one task holds
@@ -214,11 +214,11 @@ def _rewriter(window: int, bins: np.ndarray):
 def _grown(chunks: DataFrame, window: int) -> tuple[np.ndarray, DataFrame]:
     """The routing table of a corpus, and its chunks with the answers of all subtrees."""
     counts = np.zeros((len(_depths(window)), BUCKETS), np.int64)
-    for r in chunks.mapInArrow(_counter(window), "depth int, bucket int, n long").groupBy("depth", "bucket").agg(F.sum("n").alias("n")).collect():
+    for r in map_batches(chunks, _counter(window), "depth int, bucket int, n long").groupBy("depth", "bucket").agg(F.sum("n").alias("n")).collect():
         counts[r["depth"], r["bucket"]] = r["n"]
     bins = route(counts)
-    sent = chunks.mapInArrow(_sender(window, bins), "group int, chunk long, low long, leaves binary, owners binary")
-    return bins, answered(chunks, sent.groupBy("group").applyInPandas(_subtree, "chunk long, group int, answer binary"))
+    sent = map_batches(chunks, _sender(window, bins), "group int, chunk long, low long, leaves binary, owners binary")
+    return bins, answered(chunks, sent.groupBy("group").applyInPandas(lean_group(_subtree), "chunk long, group int, answer binary"))
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
@@ -232,7 +232,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
     once per chunk.
     """
     bins, chunks = _grown(chunk_table(docs, doc_id, text), window)
-    out = chunks.mapInArrow(_reporter(window, bins, keep_text), RESULT)
+    out = map_batches(chunks, _reporter(window, bins, keep_text), RESULT)
     return out if keep_text else out.drop("kept")
 
 
@@ -244,7 +244,7 @@ def remove_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_
     kinds = dict(zip(docs.columns, (f.dataType.simpleString() for f in docs.schema.fields), strict=True))
     inner = {c: {doc_id: "doc_id", text: "text"}.get(c, f"c{k}") for k, c in enumerate(docs.columns)}
     schema = ", ".join(["doc_id long", "text string", "changed boolean", *(f"{inner[c]} {kinds[c]}" for c in docs.columns if c not in (doc_id, text))])
-    rows = chunks.mapInArrow(_rewriter(window, bins), schema)
+    rows = map_batches(chunks, _rewriter(window, bins), schema)
     return rows.select(*(F.col(inner[c]).cast(kinds[c]).alias(c) for c in docs.columns), F.col("changed").alias(flag)), flag
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import map_batches
+
 LEVELS = (1, 2, 4, 8, 16)  # segments per vector, coarse to fine
 #: Queries are sent to the tasks in blocks of about so many.
 QUERY_BLOCK = 4096
@@ -119,7 +121,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, vec_id: str = "vec
     for b in range(n):
         block = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == b).toArrow()
         ids, x = block["vec_id"].to_numpy(), block["embedding"].combine_chunks()
-        part = rows.mapInArrow(_searcher(ids, x, k), "query_id long, vec_id long, score long")
+        part = map_batches(rows, _searcher(ids, x, k), "query_id long, vec_id long, score long")
         found = part if found is None else found.unionByName(part)
     if found is None:
         return queries.sparkSession.range(0).select(F.lit(0).cast("long").alias("query_id"), F.lit(0).alias("rank"), F.lit(0).cast("long").alias("vec_id"), F.lit(0).cast("long").alias("score"))

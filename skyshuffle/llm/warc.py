@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import map_batches
 from .markup import plain_text
 
 VERSION = "WARC/1.1"
@@ -113,7 +114,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         rows, size = [], 0
                 yield _record_batch(rows)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORD_SCHEMA)
+    return map_batches(spark.read.format("binaryFile").load(path).select("content"), run, RECORD_SCHEMA)
 
 
 def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -133,7 +134,7 @@ def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", page_id: str
                     rows.append(_row(fields | ({"WARC-Target-URI": uri} if uri is not None else {}), block))
                 yield _record_batch(rows)
 
-    return pages.select(F.col(page_id).cast("string"), F.col(url).cast("string"), F.col(html).cast("string")).mapInArrow(run, RECORD_SCHEMA)
+    return map_batches(pages.select(F.col(page_id).cast("string"), F.col(url).cast("string"), F.col(html).cast("string")), run, RECORD_SCHEMA)
 
 
 def _derived(fields: dict[str, str], block: bytes) -> list[tuple]:
@@ -179,7 +180,7 @@ def derive(source: DataFrame) -> DataFrame:
                 rows = [row for headers, block in zip(part.column(0), part.column(1), strict=True) for row in _derived(json.loads(headers.as_py() or "{}"), block.as_py() or b"")]
                 yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
 
-    return source.where("lower(warc_type) = 'response'").select("headers", "block").mapInArrow(run, DERIVED_SCHEMA)
+    return map_batches(source.where("lower(warc_type) = 'response'").select("headers", "block"), run, DERIVED_SCHEMA)
 
 
 def serialised(derived: DataFrame, compress: bool = True) -> DataFrame:
@@ -193,7 +194,7 @@ def serialised(derived: DataFrame, compress: bool = True) -> DataFrame:
                 out.append(serialise({k: v for k, v in fields.items() if v is not None}, (r["block"] or "").encode("utf-8", "replace"), compress))
             yield pa.record_batch([pa.array(out, pa.binary())], ["record"])
 
-    return derived.mapInArrow(run, "record binary")
+    return map_batches(derived, run, "record binary")
 
 
 def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
