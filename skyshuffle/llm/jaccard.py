@@ -314,7 +314,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     nodes = saved(map_batches(answered(chunks, rarity), _describer(parts, bits), NODES), "shingle-nodes")
 
     known = nodes.where("doc_id is not null and n > 0")
-    classes = known.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"))
+    classes = saved(known.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node")), "shingle-classes")
     possible = saved(
         known.where("rare is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.min_by(F.struct("rare", "seeds", "counts", "body"), "doc_id").alias("x")).select("node", "n", "x.*"),
         "shingle-possible",
@@ -328,13 +328,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     links = _links(possible, joined, probe=True)
     joined = components(joined.toDF("a", "b").unionByName(links))
     links = _links(possible, joined, probe=False)
-    same_id = known.select("doc_id", "s1", "s2", "n").join(classes, ["s1", "s2", "n"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    doubled = known.groupBy("doc_id").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y").select(F.col("doc_id").alias("a"))
-    edges = joined.toDF("a", "b").unionByName(links).unionByName(same_id.join(doubled, "a", "left_semi"))
-    final = components(edges)
-
-    rows = nodes.select("doc_id", "n", "s1", "s2").join(classes, ["s1", "s2", "n"], "left").join(final, "node", "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
+    doubled = known.groupBy("doc_id").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y").select("doc_id")
+    same_id = known.select("doc_id", "s1", "s2", "n").join(doubled, "doc_id", "left_semi").join(classes, ["s1", "s2", "n"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    final = components(joined.toDF("a", "b").unionByName(links).unionByName(same_id))
+
+    # a class may hold a third of all rows: its component is found for the class, and AQE can split the one join with rows,
+    # as a stored table stands on the other side of it
+    labelled = saved(classes.join(final, "node", "left").select("s1", "s2", "n", F.coalesce("component", "node").alias("component")), "shingle-components")
+    rows = nodes.select("doc_id", "n", "s1", "s2").join(labelled, ["s1", "s2", "n"], "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
