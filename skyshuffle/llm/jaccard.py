@@ -24,6 +24,8 @@ SHINGLE, GROUPS = 5, 256
 PART_SHINGLES = 2_000_000
 SEEDS = 256  # documents of a block in which first links are sought
 SLOT = 4096  # documents of one half of a block in the exact search
+TILE, TILE_SHINGLES = 256, 250_000  # classes, and about how many shingles, of one half of a component whose links are counted
+COLUMNS = 2048  # shingles that are multiplied at once
 
 
 def needed(a, b):
@@ -294,17 +296,95 @@ def _links(possible: DataFrame, joined: DataFrame, probe: bool) -> DataFrame:
     return saved(map_batches(wanted, _verify, "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id.
+def overlaps(sets: ShingleSets) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets.
+
+    Shingles of many sets are columns of a product of matrices; those of few give their pairs one by one.
+    """
+    m = len(sets.sizes)
+    order = np.argsort(sets.value, kind="stable")
+    value, doc = sets.value[order], sets.doc[order].astype(np.int64)
+    new = np.ones(len(value), bool)
+    new[1:] = value[1:] != value[:-1]
+    column = np.cumsum(new) - 1
+    held = np.bincount(column)[column] if len(value) else column
+    few, out = max(1, m // 32), np.zeros((m, m))
+    rare = np.flatnonzero((held > 1) & (held <= few))
+    for step in range(1, few):
+        a, b = rare[:-step], rare[step:]
+        both = column[a] == column[b]
+        if not both.any():
+            break
+        out += np.bincount(doc[a[both]] * m + doc[b[both]], minlength=m * m).reshape(m, m)
+    out += out.T
+    often = np.flatnonzero(held > few)
+    at = np.cumsum(np.diff(column[often], prepend=-1) > 0) - 1
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        a, b = np.searchsorted(at, [start, start + COLUMNS])
+        part = np.zeros((m, COLUMNS), np.float32)
+        part[doc[often[a:b]], at[a:b] - start] = 1
+        out += part @ part.T
+    np.fill_diagonal(out, sets.sizes)
+    return out.astype(np.int64)
+
+
+def _tiles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each (component, left, right), which come in order."""
+    rest = []
+    for frame in frames:
+        key = frame[["component", "left", "right"]].to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [len(frame)]]) if len(frame) else []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if rest and (rest[0][["component", "left", "right"]].iloc[0].to_numpy() != key[a]).any():
+                yield pd.concat(rest, ignore_index=True)
+                rest = []
+            rest.append(frame.iloc[a:b])
+    if rest:
+        yield pd.concat(rest, ignore_index=True)
+
+
+def _count_links(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each class of a tile, how many rows its linked classes there have."""
+    for tile in _tiles(frames):
+        sets, slot = _sets(tile["body"]), tile["slot"].to_numpy()
+        linked = overlaps(sets) >= needed(sets.sizes[:, None], sets.sizes)
+        np.fill_diagonal(linked, False)
+        if tile["left"].iloc[0] != tile["right"].iloc[0]:  # pairs within one half are another tile's
+            linked &= slot[:, None] != slot
+        yield tile[["s1", "s2", "n"]].assign(n_links=linked @ tile["rows"].to_numpy())
+
+
+def _links_of_classes(possible: DataFrame, joined: DataFrame) -> DataFrame:
+    """s1, s2, n, n_links: rows of all other classes that link with the class.
+
+    A link lies within one component, so each component's pairs are all verified, in tiles of two halves; what leaves a
+    tile is one row a class, never a row a pair.
+    """
+    entries = possible.join(joined, "node", "left").select("s1", "s2", "n", "rows", "body", "node", F.coalesce("component", "node").alias("component"))
+    weight = entries.groupBy("component").agg(F.count("*").alias("m"), F.sum("n").alias("s")).where("m > 1")
+    slots = F.greatest(F.ceil(F.col("m") / TILE), F.least("m", F.ceil(F.col("s") / TILE_SHINGLES))).cast("int")
+    slots = saved(weight.select("component", slots.alias("slots")), "slots-of-components")  # stored, so that AQE can split the join
+    entries = entries.join(slots, "component").withColumn("slot", F.pmod(F.xxhash64("s1"), F.col("slots")).cast("int"))
+    halves = F.explode(F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda o: F.struct(F.least(o, "slot").alias("left"), F.greatest(o, "slot").alias("right"))))
+    tiles = entries.withColumn("h", halves).select("component", "h.left", "h.right", "slot", "s1", "s2", "n", "rows", "body")
+    tiles = tiles.repartition("component", "left", "right").sortWithinPartitions("component", "left", "right")
+    return tiles.mapInPandas(lean(_count_links), "s1 long, s2 long, n long, n_links long").groupBy("s1", "s2", "n").agg(F.sum("n_links").alias("n_links"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", links: bool = False) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id, and n_links if links are to be counted.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; a document's set holds its distinct 5-word
     shingles, or the whole sequence of fewer words. Documents link at a Jaccard similarity of 0.8 or more; component_id
     is the smallest doc_id that links reach.
 
+    n_links is the number of other rows with a doc_id whose sets are at 0.8 or more: every pair of different sets of a
+    component is verified, and rows of equal sets count each. Rows without shingles or doc_id have 0.
+
     Null and empty texts have no shingles and are components of their own; rows without doc_id get a null component and
     link with nothing; rows that share a doc_id are one document with all their links; an empty table gives no rows;
-    other columns are not read. Blocks of any size are searched: large ones in halves of SLOT documents, pair by pair of
-    halves, and only between components that are not yet joined.
+    other columns are not read. Components are found from blocks of any size: large ones in halves of SLOT documents, pair
+    by pair of halves, and only between components that are not yet joined.
     """
     chunks = chunk_table(docs, doc_id, text)
     expected = max(1, (chunks.agg(F.sum(F.length("blob"))).first()[0] or 0) // 3)  # words
@@ -314,9 +394,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     nodes = saved(map_batches(answered(chunks, rarity), _describer(parts, bits), NODES), "shingle-nodes")
 
     known = nodes.where("doc_id is not null and n > 0")
-    classes = saved(known.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node")), "shingle-classes")
+    classes = saved(known.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.count("*").alias("rows")), "shingle-classes")
     possible = saved(
-        known.where("rare is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.min_by(F.struct("rare", "seeds", "counts", "body"), "doc_id").alias("x")).select("node", "n", "x.*"),
+        known.where("rare is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.count("*").alias("rows"), F.min_by(F.struct("rare", "seeds", "counts", "body"), "doc_id").alias("x")).select("s1", "s2", "node", "n", "rows", "x.*"),
         "shingle-possible",
     )
 
@@ -325,20 +405,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     seeds = seeds.join(crowd, "seed").withColumn("salt", F.pmod(F.xxhash64("node", "seed"), F.ceil(F.col("m") / SEEDS)))
     first = saved(seeds.join(possible.select("node", "body"), "node").select("node", "seed", "salt", "body").groupBy("seed", "salt").applyInPandas(_first_links, "a long, b long"), "first-links")
     joined = components(first)
-    links = _links(possible, joined, probe=True)
-    joined = components(joined.toDF("a", "b").unionByName(links))
-    links = _links(possible, joined, probe=False)
+    joining = _links(possible, joined, probe=True)
+    joined = components(joined.toDF("a", "b").unionByName(joining))
+    joining = _links(possible, joined, probe=False)
     doubled = known.groupBy("doc_id").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y").select("doc_id")
     same_id = known.select("doc_id", "s1", "s2", "n").join(doubled, "doc_id", "left_semi").join(classes, ["s1", "s2", "n"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    final = components(joined.toDF("a", "b").unionByName(links).unionByName(same_id))
+    final = components(joined.toDF("a", "b").unionByName(joining).unionByName(same_id))
 
     # a class may hold a third of all rows: its component is found for the class, and AQE can split the one join with rows,
     # as a stored table stands on the other side of it
-    labelled = saved(classes.join(final, "node", "left").select("s1", "s2", "n", F.coalesce("component", "node").alias("component")), "shingle-components")
+    labelled, counted = classes.join(final, "node", "left"), []
+    if links:
+        labelled = labelled.join(_links_of_classes(possible, final), ["s1", "s2", "n"], "left")
+        counted = [(F.col("rows") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links")]
+    labelled = saved(labelled.select("s1", "s2", "n", F.coalesce("component", "node").alias("component"), *counted), "shingle-components")
     rows = nodes.select("doc_id", "n", "s1", "s2").join(labelled, ["s1", "s2", "n"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    if links:
+        counted = [F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links")]
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), *counted)
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), links=True)

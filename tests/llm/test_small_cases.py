@@ -114,6 +114,39 @@ def test_near_duplicates_of_nothing(spark, docs):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def _n_links(rows):
+    sets = [(i, _shingles(t)) for i, t in rows]
+    n = [0] * len(sets)
+    for (j, (x, a)), (k, (y, b)) in itertools.combinations(enumerate(sets), 2):
+        if x is not None and y is not None and a and b and 5 * len(a & b) >= 4 * len(a | b):
+            n[j], n[k] = n[j] + 1, n[k] + 1
+    return sorted(((i, len(s), c) for (i, s), c in zip(sets, n)), key=repr)
+
+
+def test_links_by_brute_force(spark, docs, monkeypatch):
+    """Near copies of one text, all different, have links with nearly all others; in small tiles as in large ones."""
+    rng = random.Random(5)
+    words = _text(rng, 400).split(" ")
+    near = [(2000 + k, " ".join([*words[:k], f"z{k}", *words[k + 1 :]])) for k in range(40)] + [(2000, "x"), (2050, " ".join(words))] + [(2100 + k, " ".join(words[: 400 - 9 * k])) for k in range(20)]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(near, "doc_id long, text string"))
+    want = _n_links(_pairs(docs))
+    assert sum(n >= 39 for _, _, n in want) >= 40
+    for tile in (256, 7):
+        monkeypatch.setattr(jaccard, "TILE", tile)
+        got = jaccard.near_duplicates(docs, links=True).select("doc_id", "n_shingles", "n_links").collect()
+        assert sorted((tuple(r) for r in got), key=repr) == want
+    assert queries.QUERIES["op3_ngram_jaccard"](spark, SF).columns[-1] == "n_links"
+
+
+def test_overlaps_of_rare_and_common_shingles():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in [*range(40), *rng.integers(0, 30, 5), *rng.integers(0, 3, 8)]) for _ in range(200)]
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    sets = jaccard.ShingleSets(common.words(np.frombuffer("".join(texts).encode(), np.uint8), bounds))
+    got = jaccard.overlaps(sets)
+    assert all(got[a, b] == jaccard.overlap(sets.of(a), sets.of(b)) for a in range(200) for b in range(200))
+
+
 def test_tree_bound_never_loses_a_pair():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 400, rng.integers(1, 200))).astype(np.uint64) for _ in range(150)]
