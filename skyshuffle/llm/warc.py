@@ -26,6 +26,7 @@ DERIVED_SCHEMA = (
     "warc_type string, record_id string, refers_to string, refers_to_date string, target_uri string, warc_date string, content_type string, "
     "content_length long, block_digest string, source_payload_digest string, source_block_digest string, source_headers string, block string"
 )
+_CHUNK = re.compile(rb"[0-9A-Fa-f]+")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 
 
@@ -137,6 +138,53 @@ def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", page_id: str
     return map_batches(pages.select(F.col(page_id).cast("string"), F.col(url).cast("string"), F.col(html).cast("string")), run, RECORD_SCHEMA)
 
 
+def _dechunked(data: bytes) -> bytes:
+    """Data of all chunks; data that does not begin with a chunk as it is; a broken chunk ends it."""
+    out, at = [], 0
+    while True:
+        end = data.find(b"\n", at)
+        size = data[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not _CHUNK.fullmatch(size):
+            return b"".join(out) if out else data
+        n, at = int(size, 16), end + 1
+        if not n:
+            return b"".join(out)
+        out.append(data[at : at + n])
+        at += n
+        at += 2 if data[at : at + 2] == b"\r\n" else 1 if data[at : at + 1] == b"\n" else 0
+
+
+def _inflated(data: bytes, bits: int) -> bytes:
+    """What can be read of data's members until one is broken or cut off; nothing if that is the first byte."""
+    out = []
+    while data:
+        member, at = zlib.decompressobj(bits), 0
+        try:
+            while at < len(data) and not member.eof:
+                out.append(member.decompress(data[at : at + 1024]))
+                at += 1024
+        except zlib.error:
+            break
+        data = member.unused_data + data[at:]
+    return b"".join(out)
+
+
+def _entity(http: dict[str, str], payload: bytes) -> tuple[bytes, str | None]:
+    """The payload without its transfer and content codings, and the coding that is not known, if any."""
+    stated = f"{_get(http, 'Content-Encoding') or ''},{_get(http, 'Transfer-Encoding') or ''}"
+    for coding in reversed([c.strip().lower() for c in stated.split(",")]):
+        if coding == "chunked":
+            payload = _dechunked(payload)
+        elif coding in ("gzip", "x-gzip"):
+            payload = _inflated(payload, 31) if payload[:2] == b"\x1f\x8b" else payload
+        elif coding == "deflate":
+            zlib_head = len(payload) > 1 and payload[0] & 15 == 8 and int.from_bytes(payload[:2], "big") % 31 == 0
+            payload = _inflated(payload, 15 if zlib_head else -15) or payload
+        elif coding not in ("", "identity"):
+            return b"", coding
+    return payload, None
+
+
 def _derived(fields: dict[str, str], block: bytes) -> list[tuple]:
     head, _, payload = block.partition(b"\r\n\r\n") if block[:5] == b"HTTP/" else (b"", b"", block)
     status, _, rest = head.partition(b"\r\n")
@@ -144,16 +192,18 @@ def _derived(fields: dict[str, str], block: bytes) -> list[tuple]:
     source, date = _get(fields, "WARC-Record-ID"), _get(fields, "WARC-Date")
     payload_digest = _get(fields, "WARC-Payload-Digest") or digest(payload)
     block_digest = _get(fields, "WARC-Block-Digest") or digest(block)
+    entity, unknown = _entity(http, payload)
     kind = _get(http, "Content-Type") or "text/html"
     charset = _CHARSET.search(kind)
     try:
-        text = payload.decode(charset[1] if charset else "utf-8", "replace")
+        text = entity.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
-        text = payload.decode("utf-8", "replace")
+        text = entity.decode("utf-8", "replace")
     plain = plain_text(text) if "html" in kind.lower() else text if kind.lower().startswith("text/") else ""
     notes = [("http-status", status.decode("latin-1").partition(" ")[2])] if status else []
     notes += [(f"http-{k.lower()}", v) for k, v in http.items()]
     notes += [("source-payload-digest", payload_digest), ("source-block-digest", block_digest), ("conversion-length", str(len(plain.encode())))]
+    notes += [("conversion-unknown-coding", unknown)] if unknown else []
     meta = "".join(f"{k}: {v}\r\n" for k, v in notes)
     out = []
     for warc_type, content_type, body in (("metadata", "application/warc-fields", meta), ("conversion", "text/plain; charset=utf-8", plain)):
@@ -168,7 +218,9 @@ def derive(source: DataFrame) -> DataFrame:
     Both refer to the response by its id and date, and carry its target URI, headers and digests (computed where the
     response states none). Ids are made from the response's id and payload digest, so reruns agree. Null blocks are
     empty and empty payloads give an empty conversion; payloads that are neither HTML nor text give an empty one too;
-    unknown charsets are read as UTF-8; rows that repeat give equal records; an empty table gives no rows.
+    unknown charsets are read as UTF-8. Chunks, gzip and deflate are undone, digests are of the payload as it is stored:
+    what is broken or cut off gives the part before, a payload that lacks the stated coding is taken as it is, and an
+    unknown coding (br among them) gives an empty conversion and a note in the metadata record. Rows that repeat give equal records; an empty table gives no rows.
     """
     names = [part.split(" ")[0] for part in DERIVED_SCHEMA.split(", ")]
     kinds = [pa.int64() if n == "content_length" else pa.string() for n in names]

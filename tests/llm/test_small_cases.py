@@ -1,10 +1,12 @@
 """Edge cases and brute-force versions of the training-data operators on small tables."""
 
+import gzip
 import hashlib
 import itertools
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -453,6 +455,35 @@ def test_extraction_of_labelled_pages(spark):
     assert bad <= 0.02 * pages.count()
 
 
+def test_warc_codings():
+    """Chunks and content codings are undone before text is taken; broken and unknown ones have a defined result."""
+    page = ("<p>" + " ".join(f"word{k}" for k in range(3000)) + "</p>").encode()
+    raw = zlib.compressobj(wbits=-15)
+    raw = raw.compress(page) + raw.flush()
+    zipped = gzip.compress(page)
+
+    def chunked(data):
+        return b"".join(b"%x;a=b\r\n%s\r\n" % (len(data[s : s + 700]), data[s : s + 700]) for s in range(0, len(data), 700)) + b"0\r\n\r\n"
+
+    def got(payload, *heads):
+        block = "\r\n".join(["HTTP/1.1 200 OK", "Content-Type: text/html", *heads]).encode() + b"\r\n\r\n" + payload
+        meta, text = warc._derived({"WARC-Record-ID": "<x>"}, block)
+        return text[-1], meta[-1]
+
+    plain, chunks = markup.plain_text(page.decode()), "transfer-encoding: Chunked"
+    assert got(page)[0] == plain
+    for payload, *heads in (
+        (chunked(page), chunks), (zipped, "Content-Encoding: gzip"), (chunked(zipped), chunks, "Content-Encoding: x-gzip"), (chunked(zipped), "Transfer-Encoding: gzip, chunked"),
+        (zlib.compress(page), "Content-Encoding: deflate"), (raw, "Content-Encoding: deflate"), (gzip.compress(raw), "Content-Encoding: deflate, gzip"),
+        (gzip.compress(page[:50]) + gzip.compress(page[50:]), "Content-Encoding: gzip"), (page, chunks, "Content-Encoding: gzip"), (page, "Content-Encoding: deflate"), (zipped + b"junk", "Content-Encoding: gzip"),
+    ):
+        assert got(payload, *heads)[0] == plain, heads
+    for payload, head in ((chunked(page)[:5000], chunks), (zipped[: len(zipped) // 2], "Content-Encoding: gzip")):
+        assert len(got(payload, head)[0]) > 1000 and plain.startswith(got(payload, head)[0])
+    assert got(b"\x1b\x00\xf8", "Content-Encoding: br") == ("", got(b"\x1b\x00\xf8", "Content-Encoding: br")[1]) and "conversion-unknown-coding: br" in got(b"", "Content-Encoding: br")[1]
+    assert got(b"", "Content-Encoding: gzip", chunks)[0] == ""
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://x/é", PAGE), (2, None, None), (3, "u", ""), (1, "http://x/é", PAGE)], "page_id long, url string, html string")
     source = warc.responses(pages)
