@@ -209,7 +209,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc_i
     blocks = _item_blocks(items, item_id, item_text)
     one = [(r["i"], r["t"]) for r in blocks[0].collect()] if len(blocks) == 1 else []
     first = Phrases(one, window)
-    index = build_index(docs, first.vocabulary if len(blocks) == 1 else None, doc_id, text)
+    index = build_index(docs, None, doc_id, text)
     hits = None
     for k, block in enumerate(blocks):
         phrases = first if len(blocks) == 1 else Phrases([(r["i"], r["t"]) for r in block.collect()], window)

@@ -455,6 +455,15 @@ def test_extraction_of_labelled_pages(spark):
     assert bad <= 0.02 * pages.count()
 
 
+def test_index_holds_all_training_tokens(spark, docs, monkeypatch):
+    """Words that no item has are in the stored index too, so that it serves other items."""
+    built, build = [], decontaminate.build_index
+    monkeypatch.setattr(decontaminate, "build_index", lambda *a: built.append(build(*a)) or built[-1])
+    items = spark.createDataFrame([("i", "one"), ("j", _text(random.Random(3), 13))], "item_id string, text string")
+    found = decontaminate.contamination(docs, items)
+    assert sum(len(common.unpack_sorted(r["postings"])) for r in built[0].collect()) == found.agg(F.sum("n_words")).first()[0] > 1000
+
+
 def test_warc_codings():
     """Chunks and content codings are undone before text is taken; broken and unknown ones have a defined result."""
     page = ("<p>" + " ".join(f"word{k}" for k in range(3000)) + "</p>").encode()
