@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import ctypes
 import functools
-import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -20,18 +22,34 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where it is unset (tests)."""
-    sc = spark.sparkContext
+    """The folder that driver and executors share, as spark.checkpoint.dir names it; on one machine a folder of its own."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isEmpty():
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="skyshuffle-"))
-        current = sc._jsc.sc().getCheckpointDir()
-    return configured or current.get()
-
-
-#: Paths of the tables that saved() has written in this process.
-TABLES: list[str] = []
+    if configured:
+        return configured
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir is unset: executors elsewhere need a folder that they share with the driver")
+    spark.sparkContext.setCheckpointDir("/tmp/skyshuffle-shared")
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
+_SCOPE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("tables", default=None)
+
+
+@contextlib.contextmanager
+def tables() -> Iterator[list[str]]:
+    """The paths of the tables that saved() writes in this block and thread; an outer block learns of those that are left."""
+    own: list[str] = []
+    outer = _SCOPE.get()
+    token = _SCOPE.set(own)
+    try:
+        yield own
+    finally:
+        _SCOPE.reset(token)
+        if outer is not None:
+            outer.extend(own)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -41,23 +59,34 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    TABLES.append(path)
+    if (own := _SCOPE.get()) is not None:
+        own.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def saved_parts(parts: Iterable[DataFrame], name: str) -> DataFrame:
+    """One table of all parts, which are written one after the other; there is one at least."""
+    path = df = None
+    for df in parts:
+        if path is None:
+            path = f"{shared_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+            if (own := _SCOPE.get()) is not None:
+                own.append(path)
+        df.write.mode("append").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_tables(spark: SparkSession, paths: list[str]) -> None:
-    """Deletes stored tables whose readers are done."""
-    for path in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """Deletes stored tables whose readers are done, and empties the list."""
+    while paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-        if path in TABLES:
-            TABLES.remove(path)
 
 
 def few(df: DataFrame, rows: int) -> bool:
     """Whether df has at most so many rows."""
-    return len(df.select(F.lit(1)).take(rows + 1)) <= rows
+    return df.limit(rows + 1).count() <= rows
 
 
 def ascii_lower(col):
@@ -264,6 +293,24 @@ def unpack(blob: bytes) -> np.ndarray:
     return planes.reshape(-1).view("<u8") if n else np.zeros(0, np.uint64)
 
 
+SUM_SCHEMA, SUM_TASKS = "slice int, part int, data binary", 1024  # tasks whose sums are added at once
+
+
+def _add_packed(pdf: pd.DataFrame) -> pd.DataFrame:
+    total = unpack(pdf["data"].iloc[0]).copy()
+    for data in pdf["data"].iloc[1:]:
+        total += unpack(data)
+    return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "part": pdf["part"].iloc[:1], "data": [pack(total)]})
+
+
+def summed(found: DataFrame) -> DataFrame:
+    """Sums of packed vectors of found(slice, part, data), one row a slice; modulo 2**64. part is the task's number divided
+    by SUM_TASKS, so that no group of the two levels of sums is large."""
+    for keys in (("slice", "part"), ("slice",)):
+        found = found.groupBy(*keys).applyInPandas(lean_group(_add_packed), SUM_SCHEMA)
+    return found
+
+
 def pack_sorted(values: np.ndarray) -> bytes:
     """Ascending unsigned integers, by their differences."""
     return pack(np.diff(values, prepend=np.uint64(0)))

@@ -1,111 +1,149 @@
 """Substring dedup with prefix-partitioned suffix trees.
 
-Every position that starts a full window is a suffix, cut at the window's length: deeper branching does not matter for
-repeats of a window or more. Suffixes are split into groups by word prefixes of variable length (a prefix that starts
-too many suffixes is extended), and groups are packed into bins that fit in memory. A bin's subtree is kept as its sorted
-leaves; the edge from the group's prefix down to window depth is compacted to a 64-bit fingerprint of the words, so that
-equal neighbours are exactly the leaves below one internal node of that depth. Repeats longer than a window appear as
-runs of such nodes, and a document's covered words are the union of its maximal repeats.
+Every position that starts a full window is a suffix, and every suffix belongs to a group: that of its shortest word
+prefix (of DEPTHS words, at last of a whole window) that few enough suffixes share. A prefix that too many share is
+extended, level by level, so groups fit in memory at any corpus size; groups are packed into bins. A bin's subtree is cut
+at the window's length (a truncated suffix tree) and kept as its sorted leaves, the edge from the group's prefix down to
+that depth as a 64-bit fingerprint of the words: equal neighbours are the leaves below one node of window depth. Longer
+repeats are followed along suffix links: the window that starts one word later. What consecutive windows share with one
+first document is a maximal repeat with it.
+
+Fingerprints are compared within a bin alone: over n suffixes and bins of BIN_SUFFIXES, n * BIN_SUFFIXES / 2**65 unlike
+pairs are expected to agree: less than one over 10**13 suffixes.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import answered, chunk_table, expand, load, rest_of, rows_of, squeeze
-from .common import SPACE, Words, lean_group, map_batches, pack, pack_sorted, unpack, unpack_sorted, windows, words
+from .common import SUM_SCHEMA, SUM_TASKS, Words, lean_group, map_batches, mix, pack, pack_sorted, summed, unpack, unpack_sorted, windows, words
 
 WINDOW = 13
 BIN_SUFFIXES = 2_000_000  # suffixes that one task holds
-BUCKETS = 4096  # hash buckets in which prefixes of one length are counted
+DEPTHS = (2, 4, 8)  # words of a prefix, level by level
+MOST_HEADS = 1 << 20  # prefixes of one level that are extended, at most: each is shared by more than a MOST_HEADS-th of all suffixes
+SLICE = 1 << 14  # prefixes whose counts travel together
+
+
+def _share(hashes: np.ndarray, of) -> np.ndarray:
+    """Evenly spread numbers below `of`."""
+    return (((hashes >> np.uint64(32)) * np.asarray(of, np.uint64)) >> np.uint64(32)).astype(np.int64)
+
+
+class Prefixes:
+    """The prefixes that groups stand for, as a tree of hash buckets: a bucket that more than `limit` suffixes share is
+    extended, by buckets of its longer prefixes in proportion to its size."""
+
+    def __init__(self, window: int, expected: int, bin_suffixes: int):
+        self.depths = tuple(d for d in DEPTHS if d < window) + (window,)
+        self.limit = max(bin_suffixes // 4, expected // MOST_HEADS)
+        self.sizes = [1 << (4 * expected // max(1, self.limit)).bit_length()]  # buckets of each level
+        self.heads: list[np.ndarray] = []  # of each level but the last: buckets that are extended, ascending
+        self.base: list[np.ndarray] = []  # their first bucket of the next level
+        self.fan: list[np.ndarray] = []  # and how many of those they have
+
+    def extend(self, heads: np.ndarray, counts: np.ndarray) -> None:
+        fan = np.left_shift(1, np.ceil(np.log2(4 * counts / max(1, self.limit))).astype(np.int64))
+        self.heads.append(heads)
+        self.fan.append(fan)
+        self.base.append(np.cumsum(fan) - fan)
+        self.sizes.append(int(fan.sum()))
+
+    def place(self, found: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Level and bucket of the suffixes that start at the given words."""
+        bucket, level = _share(windows(found.hashes, self.depths[0])[at], self.sizes[0]), np.zeros(len(at), np.int64)
+        for k, heads in enumerate(self.heads):
+            rows = np.flatnonzero(level == k)
+            spot = np.minimum(np.searchsorted(heads, bucket[rows]), len(heads) - 1)
+            hit = heads[spot] == bucket[rows]
+            rows, spot = rows[hit], spot[hit]
+            longer = windows(found.hashes, self.depths[k + 1])[at[rows]]
+            bucket[rows] = self.base[k][spot] + _share(longer, self.fan[k][spot])
+            level[rows] = k + 1
+        return level, bucket
+
+
+def _starts(found: Words, window: int) -> np.ndarray:
+    """Positions that start a window inside one text."""
+    n = len(found.hashes) - window + 1
+    return np.flatnonzero(found.doc[:n] == found.doc[window - 1 :]) if n > 0 else np.zeros(0, np.int64)
+
+
+def _counter(window: int, prefixes: Prefixes):
+    """How many suffixes each bucket of the last level has, in packed slices."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, part = len(prefixes.heads), TaskContext.get().partitionId() // SUM_TASKS
+        counts = np.zeros(-(-prefixes.sizes[last] // SLICE) * SLICE, np.int64)
+        for row in rows_of(batches):
+            _, _, buf, bounds = load(row)
+            found = words(buf, bounds)
+            level, bucket = prefixes.place(found, _starts(found, window))
+            counts += np.bincount(bucket[level == last], minlength=len(counts))
+        slices = counts.reshape(-1, SLICE)
+        some = np.flatnonzero(slices.any(1))
+        yield pa.record_batch([pa.array(some, pa.int32()), pa.array([part] * len(some), pa.int32()), pa.array([pack(slices[k]) for k in some], pa.binary())], ["slice", "part", "data"])
 
-def _depths(window: int) -> tuple[int, ...]:
-    return tuple(d for d in (1, 2, 4, 8) if d < window) + (window,)
-
-
-def _suffixes(found: Words, window: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """Positions that start a window inside one text, and the bucket of their prefix of each length."""
-    full = windows(found.hashes, window)
-    at = np.flatnonzero(found.doc[: len(full)] == found.doc[window - 1 :]) if len(full) else np.zeros(0, np.int64)
-    prefixes = {d: windows(found.hashes, d)[at] for d in _depths(window)}
-    return at, prefixes
-
+    return run
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - 12)).astype(np.int64)
 
+def _crowded(limit: int):
+    """Of each slice: its sum as bucket -1, and the buckets above the limit."""
 
-def _counter(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        depths = _depths(window)
-        counts = np.zeros((len(depths), BUCKETS), np.int64)
         for row in rows_of(batches):
-            _, _, buf, bounds = load(row)
-            _, prefixes = _suffixes(words(buf, bounds), window)
-            for k, d in enumerate(depths):
-                counts[k] += np.bincount(_bucket(prefixes[d]), minlength=BUCKETS)
-        k, b = np.nonzero(counts)
-        yield pa.record_batch([pa.array(k, pa.int32()), pa.array(b, pa.int32()), pa.array(counts[k, b])], ["depth", "bucket", "n"])
+            counts = unpack(row["data"]).astype(np.int64)
+            over = np.flatnonzero(counts > limit)
+            yield pa.record_batch([pa.array(np.append(over + row["slice"] * SLICE, -1)), pa.array(np.append(counts[over], counts.sum()))], ["bucket", "n"])
 
     return run
 
 
-def route(counts: np.ndarray, bin_suffixes: int = BIN_SUFFIXES) -> np.ndarray:
-    """The bin of each (prefix length, bucket); -1 where the prefix is to be extended.
+def plan_groups(chunks: DataFrame, window: int) -> tuple[Prefixes, int]:
+    """The prefixes of a corpus's groups, and how many bins the groups go to. The driver gets extended prefixes alone."""
+    expected = (chunks.agg(F.sum(F.length("blob"))).first()[0] or 0) // 3  # words; a size for the first level
+    prefixes, total = Prefixes(window, expected, BIN_SUFFIXES), None
+    while True:
+        sums = summed(map_batches(chunks, _counter(window, prefixes), SUM_SCHEMA))
+        found = map_batches(sums, _crowded(prefixes.limit), "bucket long, n long").toArrow()
+        bucket, n = (found.column(c).to_numpy().astype(np.int64) for c in range(2))
+        total = int(n[bucket < 0].sum()) if total is None else total
+        heads = bucket >= 0
+        if not heads.any() or len(prefixes.heads) + 1 == len(prefixes.depths):
+            return prefixes, max(1, -(-total // BIN_SUFFIXES))
+        order = np.argsort(bucket[heads])
+        prefixes.extend(bucket[heads][order], n[heads][order])
 
-    A prefix bucket is a group once it holds a quarter of a bin at most; at full depth it always is. Groups go to the
-    least loaded of as many bins as their sizes need, largest first.
-    """
-    bins = np.full(counts.shape, -1, np.int64)
-    last, total = len(counts) - 1, int(counts[0].sum())
-    leaves, left = [], total
-    for k in range(last):
-        fit = np.flatnonzero((counts[k] > 0) & (counts[k] <= bin_suffixes // 4))
-        leaves += [(int(counts[k, b]) * left // max(1, total), k, int(b)) for b in fit]
-        left -= int(counts[k, fit].sum()) * left // max(1, total)
-    leaves += [(max(1, left // BUCKETS), last, b) for b in range(BUCKETS)]
-    n = max(1, -(-sum(x[0] for x in leaves) // bin_suffixes))
-    heap = [(0, b) for b in range(n)]
-    for size, k, b in sorted(leaves, reverse=True):
-        load_, bin_ = heapq.heappop(heap)
-        bins[k, b] = bin_
-        heapq.heappush(heap, (load_ + size, bin_))
-    return bins
-
-
-def _leaves(found: Words, window: int, bins: np.ndarray):
+
+def _leaves(found: Words, window: int, prefixes: Prefixes, bins: int):
     """A chunk's suffixes by bin and fingerprint: positions in that order, bins, fingerprints, starts of equal ones."""
-    at, prefixes = _suffixes(found, window)
-    place = np.full(len(at), -1, np.int64)
-    for k, d in enumerate(_depths(window)):
-        place = np.where(place < 0, bins[k, _bucket(prefixes[d])], place)
-    full = prefixes[window]
+    at = _starts(found, window)
+    level, bucket = prefixes.place(found, at)
+    place = _share(mix((level.astype(np.uint64) << np.uint64(56)) | bucket.astype(np.uint64)), bins)
+    full = windows(found.hashes, window)[at]
     order = np.argsort(full, kind="stable")
-    if place.size and place.max() < 1 << 16:
-        order = order[np.argsort(place[order].astype(np.uint16), kind="stable")]
-    else:
-        order = order[np.argsort(place[order], kind="stable")]
+    order = order[np.argsort(place[order].astype(np.uint16) if bins < 1 << 16 else place[order], kind="stable")]
     place, full = place[order], full[order]
     new = np.ones(len(full), bool)
     new[1:] = (full[1:] != full[:-1]) | (place[1:] != place[:-1])
     return at[order], place, full, np.flatnonzero(new)
 
 
-def _sender(window: int, bins: np.ndarray):
+def _sender(window: int, prefixes: Prefixes, bins: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             ids, _, buf, bounds = load(row)
             found = words(buf, bounds)
-            at, place, full, first = _leaves(found, window, bins)
+            at, place, full, first = _leaves(found, window, prefixes, bins)
             owner = ids[found.doc[at[first]]]  # sorted by doc_id within the chunk, so the smallest
             low = ids[:1].astype(np.uint64)
             place, full = place[first], full[first]
@@ -120,7 +158,8 @@ def _sender(window: int, bins: np.ndarray):
 
 
 def _subtree(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A bin's subtree: for each chunk's leaf, whether its node at window depth holds a smaller document than the chunk's own."""
+    """A bin's subtree: for each chunk's leaf, whether its node at window depth holds a smaller document than the chunk's
+    own, and for those the smallest."""
     leaves = [unpack_sorted(x) for x in pdf["leaves"]]
     owners = [unpack(x) + np.array([low]).astype(np.uint64) for x, low in zip(pdf["owners"], pdf["low"], strict=True)]
     sizes = np.array([len(x) for x in leaves])
@@ -130,31 +169,46 @@ def _subtree(pdf: pd.DataFrame) -> pd.DataFrame:
     order = np.argsort(leaf, kind="stable")
     leaf, sorted_owner = leaf[order], owner[order]
     node = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1]])) if len(leaf) else np.zeros(0, np.int64)
-    least = np.minimum.reduceat(sorted_owner, node) if len(node) else sorted_owner
-    flags = np.zeros(len(leaf), bool)
-    flags[order] = sorted_owner > np.repeat(least, np.diff(np.append(node, len(leaf))))
+    per = np.diff(np.append(node, len(leaf)))
+    least = np.repeat(np.minimum.reduceat(sorted_owner, node) if len(node) else sorted_owner, per)
+    flags, first = np.zeros(len(leaf), bool), np.zeros(len(leaf), np.uint64)
+    flags[order] = sorted_owner > least
+    first[order] = least
     out, end = [], np.cumsum(sizes)
     for k, (chunk, group) in enumerate(zip(pdf["chunk"], pdf["group"], strict=True)):
         own = flags[end[k] - sizes[k] : end[k]]
         if own.any():
-            out.append((chunk, group, squeeze(np.packbits(own).tobytes())))
+            bits = squeeze(np.packbits(own).tobytes())
+            held = first[end[k] - sizes[k] : end[k]][own]
+            low = held.min()
+            out.append((chunk, group, len(bits).to_bytes(4, "little") + bits + int(low).to_bytes(8, "little") + pack(held - low)))
     return pd.DataFrame(out, columns=["chunk", "group", "answer"]).astype({"chunk": "int64", "group": "int32"})
 
 
-def covered_words(found: Words, ids: np.ndarray, window: int, bins: np.ndarray, answers: list[dict] | None) -> np.ndarray:
-    """Which words of a chunk lie in a window that starts in a document with a smaller id."""
-    at, place, full, first = _leaves(found, window, bins)
+def repeated_windows(found: Words, ids: np.ndarray, window: int, prefixes: Prefixes, bins: int, answers: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a chunk that start a window which also starts in a document with a smaller id, ascending, and the
+    smallest such id of each."""
+    at, place, full, first = _leaves(found, window, prefixes, bins)
     sizes = np.diff(np.append(first, len(full)))
-    elsewhere = np.zeros(len(first), bool)
+    doc = ids[found.doc[at]]
+    least = doc[first] if len(first) else doc
     for answer in answers or []:
         a, b = np.searchsorted(place[first], [answer["group"], answer["group"] + 1])
-        elsewhere[a:b] = np.unpackbits(np.frombuffer(expand(answer["answer"]), np.uint8), count=b - a).astype(bool)
-    doc = ids[found.doc[at]]
-    repeated = np.repeat(elsewhere, sizes) | (doc > np.repeat(doc[first], sizes))
-    step = np.zeros(len(found.starts) + 1, np.int64)
-    start = at[repeated]
-    np.add.at(step, start, 1)
-    np.add.at(step, start + window, -1)
+        data = answer["answer"]
+        cut = 4 + int.from_bytes(data[:4], "little")
+        flags = np.unpackbits(np.frombuffer(expand(data[4:cut]), np.uint8), count=b - a).astype(bool)
+        held = unpack(data[cut + 8 :]) + np.uint64(int.from_bytes(data[cut : cut + 8], "little"))
+        least[a + np.flatnonzero(flags)] = (held ^ np.uint64(1 << 63)).view(np.int64)
+    least = np.repeat(least, sizes)
+    hit = np.flatnonzero(doc > least)
+    hit = hit[np.argsort(at[hit])]
+    return at[hit], least[hit]
+
+
+def _covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
+    step = np.zeros(n + 1, np.int64)
+    np.add.at(step, starts, 1)
+    np.add.at(step, starts + window, -1)
     return np.cumsum(step[:-1]) > 0
 
 
@@ -176,12 +230,12 @@ def joined_kept(found: Words, kept: np.ndarray) -> tuple[bytes, np.ndarray]:
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 
 
-def _reporter(window: int, bins: np.ndarray, keep_text: bool):
+def _reporter(window: int, prefixes: Prefixes, bins: int, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             ids, as_given, buf, bounds = load(row)
             found = words(buf, bounds)
-            kept = ~covered_words(found, ids, window, bins, row["answers"])
+            kept = ~_covered(repeated_windows(found, ids, window, prefixes, bins, row["answers"])[0], len(found.starts), window)
             data, cut = joined_kept(found, kept)
             removed = found.counts - np.diff(np.concatenate([[0], np.cumsum(kept)])[found.offsets])
             texts = [data[a : max(a, b - 1)] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
@@ -194,14 +248,14 @@ def _reporter(window: int, bins: np.ndarray, keep_text: bool):
     return run
 
 
-def _rewriter(window: int, bins: np.ndarray):
+def _rewriter(window: int, prefixes: Prefixes, bins: int):
     """Chunks as rows again, with the texts that lost words replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             ids, as_given, buf, bounds = load(row)
             found, rest = words(buf, bounds), rest_of(row)
-            kept = ~covered_words(found, ids, window, bins, row["answers"])
+            kept = ~_covered(repeated_windows(found, ids, window, prefixes, bins, row["answers"])[0], len(found.starts), window)
             data, cut = joined_kept(found, kept)
             changed = np.diff(np.concatenate([[0], np.cumsum(kept)])[found.offsets]) < found.counts
             raw, was_null = buf.tobytes(), rest.column(0).to_pylist()
@@ -211,14 +265,39 @@ def _rewriter(window: int, bins: np.ndarray):
     return run
 
 
-def _grown(chunks: DataFrame, window: int) -> tuple[np.ndarray, DataFrame]:
-    """The routing table of a corpus, and its chunks with the answers of all subtrees."""
-    counts = np.zeros((len(_depths(window)), BUCKETS), np.int64)
-    for r in map_batches(chunks, _counter(window), "depth int, bucket int, n long").groupBy("depth", "bucket").agg(F.sum("n").alias("n")).collect():
-        counts[r["depth"], r["bucket"]] = r["n"]
-    bins = route(counts)
-    sent = map_batches(chunks, _sender(window, bins), "group int, chunk long, low long, leaves binary, owners binary")
-    return bins, answered(chunks, sent.groupBy("group").applyInPandas(lean_group(_subtree), "chunk long, group int, answer binary"))
+def _spanner(window: int, prefixes: Prefixes, bins: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            ids, as_given, buf, bounds = load(row)
+            found = words(buf, bounds)
+            start, owner = repeated_windows(found, ids, window, prefixes, bins, row["answers"])
+            doc = found.doc[start]
+            new = np.ones(len(start), bool)
+            new[1:] = (np.diff(start) != 1) | (owner[1:] != owner[:-1]) | (doc[1:] != doc[:-1])
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(start))[: len(first)] - 1
+            base = found.offsets[doc[first]]
+            yield pa.record_batch([pa.array([as_given[d] for d in doc[first].tolist()], pa.int64()), pa.array(start[first] - base), pa.array(start[last] + window - base), pa.array(owner[first])], ["doc_id", "start", "stop", "first_doc_id"])
+
+    return run
+
+
+def _grown(chunks: DataFrame, window: int) -> tuple[Prefixes, int, DataFrame]:
+    """The groups of a corpus, and its chunks with the answers of all subtrees."""
+    prefixes, bins = plan_groups(chunks, window)
+    sent = map_batches(chunks, _sender(window, prefixes, bins), "group int, chunk long, low long, leaves binary, owners binary")
+    return prefixes, bins, answered(chunks, sent.groupBy("group").applyInPandas(lean_group(_subtree), "chunk long, group int, answer binary"))
+
+
+def maximal_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, start, stop, first_doc_id: words start (from 0) to stop, of `window` words at least, all of whose windows
+    first stand in first_doc_id, the smallest doc_id that has them; it is smaller than doc_id. Extended by a word to either
+    side, a row's windows would not all have that first document.
+
+    Nulls, empty texts, null and repeated ids are treated as in dedup_substrings(); an empty table gives no rows.
+    """
+    prefixes, bins, chunks = _grown(chunk_table(docs, doc_id, text), window)
+    return map_batches(chunks, _spanner(window, prefixes, bins), "doc_id long, start long, stop long, first_doc_id long")
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
@@ -228,23 +307,25 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_i
 
     Null and empty texts have no words and keep the empty string; a null doc_id is greater than all others, and rows
     without id do not remove from each other; neither do rows that share a doc_id; an empty table gives no rows; other
-    columns are not read. The routing table has a fixed size; a window that very many documents hold reaches its bin
-    once per chunk.
+    columns are not read. A window that very many documents hold reaches its bin once per chunk.
     """
-    bins, chunks = _grown(chunk_table(docs, doc_id, text), window)
-    out = map_batches(chunks, _reporter(window, bins, keep_text), RESULT)
+    prefixes, bins, chunks = _grown(chunk_table(docs, doc_id, text), window)
+    out = map_batches(chunks, _reporter(window, prefixes, bins, keep_text), RESULT)
     return out if keep_text else out.drop("kept")
 
 
 def remove_substrings(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
     """docs with repeated windows removed as in dedup_substrings, all columns kept, and the name of an added boolean
-    column that tells which texts changed. Those become their kept words joined by one space; others stay as they are."""
+    column that tells which texts changed. Those become their kept words joined by one space; others stay as they are.
+
+    Null texts stay null; null and repeated ids, ties and empty tables are treated as in dedup_substrings().
+    """
     flag = next(name for name in ("changed", *(f"changed{k}" for k in range(len(docs.columns) + 1))) if name not in docs.columns)
-    bins, chunks = _grown(chunk_table(docs, doc_id, text, carry=True), window)
+    prefixes, bins, chunks = _grown(chunk_table(docs, doc_id, text, carry=True), window)
     kinds = dict(zip(docs.columns, (f.dataType.simpleString() for f in docs.schema.fields), strict=True))
     inner = {c: {doc_id: "doc_id", text: "text"}.get(c, f"c{k}") for k, c in enumerate(docs.columns)}
     schema = ", ".join(["doc_id long", "text string", "changed boolean", *(f"{inner[c]} {kinds[c]}" for c in docs.columns if c not in (doc_id, text))])
-    rows = map_batches(chunks, _rewriter(window, bins), schema)
+    rows = map_batches(chunks, _rewriter(window, prefixes, bins), schema)
     return rows.select(*(F.col(inner[c]).cast(kinds[c]).alias(c) for c in docs.columns), F.col("changed").alias(flag)), flag
 
 

@@ -196,13 +196,59 @@ def _removed(rows, window=13):
 
 @pytest.mark.parametrize("limit", [50, 2_000_000])
 def test_substrings_by_brute_force(spark, docs, monkeypatch, limit):
-    plan = substrings.route
-    monkeypatch.setattr(substrings, "route", lambda counts: plan(counts, limit))
+    monkeypatch.setattr(substrings, "BIN_SUFFIXES", limit)
     got = sorted((tuple(r) for r in substrings.dedup_substrings(docs, keep_text=True).collect()), key=repr)
     assert got == _removed(_pairs(docs))
     assert sum(r[2] for r in got) > 1000
 
 
+def _repeats(rows, window=13):
+    first, out = {}, []
+    for i, t in rows:
+        w = _words(t)
+        for k in range(len(w) - window + 1):
+            key = tuple(w[k : k + window])
+            first[key] = min(first.get(key, math.inf), math.inf if i is None else i)
+    for i, t in rows:
+        w, last = _words(t), None
+        for k in range(len(w) - window + 1):
+            owner = first[tuple(w[k : k + window])]
+            if owner < (math.inf if i is None else i):
+                if last and last[2] == k + window - 1 and last[3] == owner:
+                    last[2] += 1
+                else:
+                    out.append(last := [i, k, k + window, owner])
+    return sorted(map(tuple, out), key=repr)
+
+
+def test_maximal_repeats_by_brute_force(spark, docs, monkeypatch):
+    for limit in (40, 2_000_000):
+        monkeypatch.setattr(substrings, "BIN_SUFFIXES", limit)
+        got = sorted((tuple(r) for r in substrings.maximal_repeats(docs).collect()), key=repr)
+        assert got == _repeats(_pairs(docs)) and len(got) > 40
+    assert substrings.maximal_repeats(docs.limit(0)).count() == 0
+
+
+def test_crowded_prefixes_are_extended():
+    """Groups stay in bounds whatever the corpus: prefixes are extended until few enough suffixes share them."""
+    rng = np.random.default_rng(3)
+    text = b" ".join(b"w%d" % x for x in np.minimum(rng.zipf(1.3, 60000), 500))
+    found = common.words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    prefixes, at = substrings.Prefixes(13, 60000, 400), substrings._starts(found, 13)
+    for _ in range(len(prefixes.depths)):
+        level, bucket = prefixes.place(found, at)
+        counts = np.bincount(bucket[level == len(prefixes.heads)])
+        heads = np.flatnonzero(counts > prefixes.limit)
+        if not len(heads) or len(prefixes.heads) + 1 == len(prefixes.depths):
+            break
+        prefixes.extend(heads, counts[heads])
+    assert len(prefixes.heads) >= 2 and sum(prefixes.sizes) < 60000
+    _, sizes = np.unique(level * (1 << 40) + bucket, return_counts=True)
+    assert sizes.max() <= prefixes.limit == 100
+    many = substrings.Prefixes(13, 10**13, 2_000_000)  # what the driver holds does not follow the corpus beyond that
+    assert 10**13 // many.limit <= substrings.MOST_HEADS and many.sizes[0] <= 8 * substrings.MOST_HEADS
+
+
 def test_substrings_keep_columns(spark, docs):
     out, changed = substrings.remove_substrings(docs.withColumn("changed", F.lit(1)))
     assert changed == "changed0" and out.columns == [*docs.columns, "changed", "changed0"]
@@ -236,7 +282,7 @@ def _contamination(rows, items, window=13):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("block", [100, 16 << 20])
+@pytest.mark.parametrize("block", [100, 4 << 20])
 def test_contamination_by_brute_force(spark, docs, monkeypatch, block):
     rows = _pairs(docs)
     long = max((t for _, t in rows if t), key=len).split(" ")
@@ -261,7 +307,7 @@ def test_proximity_ignores_order_and_stays_in_documents(spark):
 # --- search ------------------------------------------------------------------------------------------------------
 
 
-def test_topk_by_brute_force(spark):
+def test_topk_by_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(4)
     data = [(int(k), [float(v) for v in rng.normal(0, 0.2, 8).astype(np.float32)]) for k in range(230)]
     data[7] = (7, None)
@@ -276,6 +322,14 @@ def test_topk_by_brute_force(spark):
         found = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in fine if i != q and len(y) == len(x))[:5]
         want += [(q, r, i, max(-(2**63), min(2**63 - 1, -s))) for r, (s, i) in enumerate(found, 1)]
     assert sorted(tuple(r) for r in topk.top_k(df.where("vec_id % 50 = 0"), df).collect()) == sorted(want)
+    for queries, block, seeds in ((7, 3, 0), (2, 2, 9)):  # whatever the blocks and first thresholds
+        monkeypatch.setattr(topk, "QUERIES", queries)
+        monkeypatch.setattr(topk, "QUERY_BLOCK", block)
+        monkeypatch.setattr(topk, "SEEDS", seeds)
+        assert sorted(tuple(r) for r in topk.top_k(df.where("vec_id % 50 = 0"), df).collect()) == sorted(want)
+    rows = [(0, [1.0, math.nan]), (0, [1.0, 2.0]), (0, [1.0, 1.0]), (1, [1.0, 1.0]), (1, None)]
+    few = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(few.where("vec_id = 0"), few).collect()] == [(0, 1, 1, 2 * 65536)]  # the smallest valid query of the id
     assert topk.top_k(df.limit(0), df).count() == 0
 
 
@@ -306,6 +360,9 @@ def test_url_rules(spark):
     for r in got:
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == cases[r["url"]], r
     assert {r["verdict"] for r in urls.filter_urls(df, urls.rule_table(spark, [])).collect()} == {"allow"}
+    for name in ("host", "path", "rule", "verdict"):  # the URL's own column is replaced too
+        back = urls.filter_urls(df.select(F.col("url").alias(name), F.lit(1).alias("made0")), urls.rule_table(spark, urls.RULES), url=name)
+        assert sorted(back.columns) == ["host", "made0", "path", "rule", "verdict"] and sorted(map(str, (r["verdict"] for r in back.collect()))) == sorted(r["verdict"] for r in got)
     assert urls.filter_urls(df.limit(0), urls.rule_table(spark, urls.RULES)).count() == 0
 
 
@@ -339,7 +396,7 @@ def _targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
 def test_mixing(spark, monkeypatch):
     monkeypatch.setattr(mixing, "FAN_IN", 16)  # several levels of the tree
     rng = random.Random(5)
-    rows = [(k, _text(rng, rng.choice([0, 1, 5, 30, 80])) if k % 50 else None, rng.choice(["a", "a", "a", "a", "B", "c", None, "é"])) for k in range(900)] + [(1, "x y", "solo"), (None, "w w", "a"), (3, "t t", "a"), (3, "t t", "a")]
+    rows = [(k, _text(rng, rng.choice([0, 1, 5, 30, 80])) if k % 50 else None, rng.choice(["a", "a", "a", "a", "B", "c", None, "é"])) for k in range(900)] + [(1, "x y", "solo"), (2, "v " * 40000, "é"), *[(None, "w w", "a")] * 60, (3, "t t", "a"), (3, "t t", "a")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit("clash"))
     got = mixing.mix_sources(df).collect()
     assert len(got) == len(rows)
