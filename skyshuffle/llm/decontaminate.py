@@ -15,12 +15,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, map_batches, pack_sorted, pieces, saved, text_bytes, unpack, words
+from .common import ALNUM, map_batches, mix, pack_sorted, pieces, saved, saved_parts, text_bytes, unpack, windows, words
 
 WINDOW = 13
 SEGMENT_BYTES = 4 << 20
-#: Test items are searched for in blocks of about so many bytes of text, which is what each task gets of them.
-BLOCK_BYTES = 16 << 20
+#: Test items are searched for in blocks of about so many bytes of text, which is what driver and tasks hold of them.
+BLOCK_BYTES = 4 << 20
+PHRASES = 1 << 16  # phrases whose lists are looked up at once
 INDEX_SCHEMA = "segment long, doc_ids array<long>, n_words array<int>, terms binary, postings binary"
 
 
@@ -37,116 +38,121 @@ def _rank(hashes: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.nd
     return at[hit], place[hit]
 
 
-def _indexer(vocabulary: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            ids = batch.column(0)
-            buf, bounds = text_bytes(batch.column(1))
-            for i, j in pieces(bounds, SEGMENT_BYTES):
-                found = words(buf[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], ALNUM, lower=True)
-                terms = np.unique(found.hashes) if vocabulary is None else vocabulary
-                at, place = _rank(found.hashes, terms)
-                used, place = np.unique(place, return_inverse=True)
-                postings = (place.astype(np.uint64) << np.uint64(32)) | at.astype(np.uint64)
-                postings.sort()
-                yield pa.record_batch(
-                    [pa.array([segment]), pa.array([ids[i:j].to_pylist()], pa.list_(pa.int64())), pa.array([found.counts.astype(np.int32)], pa.list_(pa.int32())),
-                     pa.array([pack_sorted(terms[used])]), pa.array([pack_sorted(postings)])],
-                    ["segment", "doc_ids", "n_words", "terms", "postings"],
-                )
-                segment += 1
-
-    return run
+def _indexer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    segment = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        ids = batch.column(0)
+        buf, bounds = text_bytes(batch.column(1))
+        for i, j in pieces(bounds, SEGMENT_BYTES):
+            found = words(buf[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], ALNUM, lower=True)
+            terms, place = np.unique(found.hashes, return_inverse=True)
+            postings = (place.astype(np.uint64) << np.uint64(32)) | np.arange(len(place), dtype=np.uint64)
+            postings.sort()
+            yield pa.record_batch(
+                [pa.array([segment]), pa.array([ids[i:j].to_pylist()], pa.list_(pa.int64())), pa.array([found.counts.astype(np.int32)], pa.list_(pa.int32())),
+                 pa.array([pack_sorted(terms)]), pa.array([pack_sorted(postings)])],
+                ["segment", "doc_ids", "n_words", "terms", "postings"],
+            )
+            segment += 1
 
 
-def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The stored index of docs; of the given sorted term hashes only, or of all terms."""
+def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The stored index of all words of docs, which serves any test items."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return saved(map_batches(rows, _indexer(vocabulary), INDEX_SCHEMA), "positional-index")
+    return saved(map_batches(rows, _indexer, INDEX_SCHEMA), "positional-index")
 
 
 class Phrases:
-    """Windows of test items: each distinct window once, with its terms and the items that hold it."""
-
-    def __init__(self, items: list[tuple[object, str]], window: int):
-        text = [t.encode() for _, t in items]
-        bounds = np.concatenate([[0], np.cumsum([len(t) for t in text], dtype=np.int64)]).astype(np.int64)
-        found = words(np.frombuffer(b"".join(text), np.uint8), bounds, ALNUM, lower=True)
-        lengths, holders, rows = [], [], {}
-        for k, (item, _) in enumerate(items):
-            hashes = found.hashes[found.offsets[k] : found.offsets[k + 1]]
-            width = min(window, len(hashes))
-            for s in range(len(hashes) - width + 1 if width else 0):
-                part = hashes[s : s + width]
-                row = rows.setdefault(part.tobytes(), len(rows))
-                if row == len(holders):
-                    holders.append(set())
-                    lengths.append(width)
-                holders[row].add(str(item))
-        self.window = window
-        self.holders = [sorted(x) for x in holders]
-        self.lengths = np.array(lengths, np.int64)
-        self.terms = np.zeros((len(rows), window), np.uint64)
-        for part, row in rows.items():
-            self.terms[row, : self.lengths[row]] = np.frombuffer(part, np.uint64)
-        self.real = np.arange(window) < self.lengths[:, None]
-        self.vocabulary = np.unique(self.terms[self.real])
-        self.places = np.searchsorted(self.vocabulary, self.terms)
+    """Windows of a block of test items: each distinct window once, with its terms and the items that hold it, in arrays."""
+
+    def __init__(self, names: list[str], buf: np.ndarray, bounds: np.ndarray, window: int):
+        found = words(buf, bounds, ALNUM, lower=True)
+        per = np.where(found.counts > 0, np.maximum(1, found.counts - window + 1), 0)
+        item = np.repeat(np.arange(len(names)), per)
+        start = found.offsets[item] + np.arange(len(item)) - np.repeat(np.cumsum(per) - per, per)
+        length = np.minimum(window, found.counts)[item]
+        one, two = np.zeros(len(item), np.uint64), np.zeros(len(item), np.uint64)
+        for n in np.unique(length).tolist():  # two fingerprints tell windows apart
+            own = length == n
+            one[own], two[own] = windows(found.hashes, n)[start[own]], windows(mix(found.hashes + np.uint64(1)), n)[start[own]]
+        order = np.lexsort((item, two, one))
+        one, two, item = one[order], two[order], item[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        first = np.flatnonzero(new)
+        self.window, self.names = window, names
+        self.item, self.bounds = item, np.append(first, len(order))
+        self.lengths = length[order][first].astype(np.int64)
+        self.vocabulary, place = np.unique(found.hashes, return_inverse=True)
+        self.place, self.start = place.astype(np.int32), start[order][first]
+
+    def holders(self, phrase: int) -> set[str]:
+        return {self.names[k] for k in self.item[self.bounds[phrase] : self.bounds[phrase + 1]].tolist()}
+
+    def parts(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Some phrases at a time: the first one, the places of their terms in the vocabulary, and which of those are real."""
+        for s in range(0, len(self.lengths), PHRASES):
+            real = np.arange(self.window) < self.lengths[s : s + PHRASES, None]
+            at = np.minimum(self.start[s : s + PHRASES, None] + np.arange(self.window), len(self.place) - 1)
+            yield s, np.where(real, self.place[at], -1), real
 
 
 def _lists(phrases: Phrases, terms: np.ndarray, postings: np.ndarray):
-    """The segment's list of every phrase term (-1: none), list bounds, and each phrase's offsets from rarest to commonest."""
+    """For some phrases at a time: the first one, the segment's list of every term (-1: none), list bounds, each phrase's
+    offsets from rarest to commonest, and the phrases whose terms all have a list."""
     at, place = _rank(phrases.vocabulary, terms)
     local = np.full(len(phrases.vocabulary) + 1, -1, np.int64)
     local[at] = place
-    lists = np.where(phrases.real, local[np.where(phrases.real, phrases.places, -1)], -2)
     bounds = np.searchsorted(postings, np.arange(len(terms) + 1, dtype=np.uint64) << np.uint64(32))
-    sizes = np.append(np.diff(bounds), [np.iinfo(np.int64).max, 0])[lists]  # -2: no such offset; -1: no posting
-    return lists, bounds, np.argsort(sizes, axis=1, kind="stable"), np.flatnonzero((lists != -1).all(1))
+    sizes = np.append(np.diff(bounds), [np.iinfo(np.int64).max, 0])  # -2: no such offset; -1: no posting
+    for first, places, real in phrases.parts():
+        lists = np.where(real, local[places], -2)
+        yield first, lists, bounds, np.argsort(sizes[lists], axis=1, kind="stable"), np.flatnonzero((lists != -1).all(1))
 
 
 def find_phrases(phrases: Phrases, terms: np.ndarray, postings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All (phrase, start) whose terms follow each other from start, by intersecting from the rarest list on."""
-    lists, bounds, order, alive = _lists(phrases, terms, postings)
-    rarest = order[alive, 0]
-    first = lists[alive, rarest]
-    counts = bounds[first + 1] - bounds[first]
-    which = np.repeat(alive, counts)
-    inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    position = (postings[np.repeat(bounds[first], counts) + inner] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    start = position - np.repeat(rarest, counts)
-    keep = start >= 0
-    which, start = which[keep], start[keep]
-    for k in range(1, phrases.window):
-        offset = order[which, k]
-        term = lists[which, offset]
-        more = term >= 0  # shorter phrases are through
-        wanted = (term.astype(np.uint64) << np.uint64(32)) | (start + offset).astype(np.uint64)
-        spot = np.minimum(np.searchsorted(postings, wanted), max(0, len(postings) - 1))
-        keep = ~more | (postings[spot] == wanted) if len(postings) else ~more
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for base, lists, bounds, order, alive in _lists(phrases, terms, postings):
+        rarest = order[alive, 0]
+        first = lists[alive, rarest]
+        counts = bounds[first + 1] - bounds[first]
+        which = np.repeat(alive, counts)
+        inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        position = (postings[np.repeat(bounds[first], counts) + inner] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        start = position - np.repeat(rarest, counts)
+        keep = start >= 0
         which, start = which[keep], start[keep]
-        if not len(which):
-            break
-    return which, start
+        for k in range(1, phrases.window):
+            if not len(which):
+                break
+            offset = order[which, k]
+            term = lists[which, offset]
+            more = term >= 0  # shorter phrases are through
+            wanted = (term.astype(np.uint64) << np.uint64(32)) | (start + offset).astype(np.uint64)
+            spot = np.minimum(np.searchsorted(postings, wanted), len(postings) - 1)
+            keep = ~more | (postings[spot] == wanted)
+            which, start = which[keep], start[keep]
+        found.append((which + base, start))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 def find_near(phrases: Phrases, terms: np.ndarray, postings: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
     """All (phrase, position of its rarest term) with every other term at most slop words away, in any order."""
-    lists, bounds, order, alive = _lists(phrases, terms, postings)
     whole, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     low = np.uint64(0xFFFFFFFF)
-    for row in alive:
-        own = lists[row, order[row, : phrases.lengths[row]]]
-        at = (postings[bounds[own[0]] : bounds[own[0] + 1]] & low).astype(np.int64)
-        for term in np.unique(own[1:]):
-            other = (postings[bounds[term] : bounds[term + 1]] & low).astype(np.int64)
-            k = np.searchsorted(other, at - slop)
-            at = at[(k < len(other)) & (other[np.minimum(k, len(other) - 1)] <= at + slop)]
-            if not len(at):
-                break
-        whole.append(np.full(len(at), row))
-        places.append(at)
+    for base, lists, bounds, order, alive in _lists(phrases, terms, postings):
+        for row in alive:
+            own = lists[row, order[row, : phrases.lengths[base + row]]]
+            at = (postings[bounds[own[0]] : bounds[own[0] + 1]] & low).astype(np.int64)
+            for term in np.unique(own[1:]):
+                other = (postings[bounds[term] : bounds[term + 1]] & low).astype(np.int64)
+                k = np.searchsorted(other, at - slop)
+                at = at[(k < len(other)) & (other[np.minimum(k, len(other) - 1)] <= at + slop)]
+                if not len(at):
+                    break
+            whole.append(np.full(len(at), base + row))
+            places.append(at)
     return np.concatenate(whole), np.concatenate(places)
 
 
@@ -158,42 +164,50 @@ def _segments(batches: Iterator[pa.RecordBatch]):
             yield batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), counts, terms, postings
 
 
-HIT_SCHEMA = "segment long, place int, doc_id long, n_words long, spans array<struct<start:int,stop:int>>, items array<string>"
+HIT_SCHEMA = "segment long, place int, spans array<struct<start:int,stop:int>>, items array<string>"
 
 
-def _searcher(phrases: Phrases):
+def _searcher(block: Callable[[], Phrases]):
+    """The documents of each segment in which phrases occur: spans of words that are hit, and the items."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
-        for segment, ids, counts, terms, postings in _segments(batches):
+        phrases = block()
+        for segment, _, counts, terms, postings in _segments(batches):
             which, start = find_phrases(phrases, terms, postings)
             offsets = np.concatenate([[0], np.cumsum(counts)])
             doc = np.searchsorted(offsets, start, "right") - 1
             stop = start + phrases.lengths[which]
             keep = stop <= offsets[np.minimum(doc + 1, len(counts))]
             which, start, stop, doc = which[keep], start[keep], stop[keep], doc[keep]
-            spans, items = [[] for _ in ids], [set() for _ in ids]
+            spans, items = {}, {}
             for k in np.lexsort((start, doc)).tolist():
                 d = int(doc[k])
                 s, e = int(start[k] - offsets[d]), int(stop[k] - offsets[d])
-                if spans[d] and s <= spans[d][-1]["stop"]:
-                    spans[d][-1]["stop"] = max(e, spans[d][-1]["stop"])
+                own = spans.setdefault(d, [])
+                if own and s <= own[-1]["stop"]:
+                    own[-1]["stop"] = max(e, own[-1]["stop"])
                 else:
-                    spans[d].append({"start": s, "stop": e})
-                items[d].update(phrases.holders[which[k]])
+                    own.append({"start": s, "stop": e})
+                items.setdefault(d, set()).update(phrases.holders(int(which[k])))
             yield pa.record_batch(
-                [pa.array([segment] * len(ids), pa.int64()), pa.array(range(len(ids)), pa.int32()), pa.array(ids, pa.int64()), pa.array(counts, pa.int64()),
-                 pa.array(spans, span), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                ["segment", "place", "doc_id", "n_words", "spans", "items"],
-            )
+                [pa.array([segment] * len(spans), pa.int64()), pa.array(list(spans), pa.int32()), pa.array(list(spans.values()), span), pa.array([sorted(items[d]) for d in spans], pa.list_(pa.string()))],
+                ["segment", "place", "spans", "items"],
+            )
 
     return run
 
 
-def _item_blocks(items: DataFrame, item_id: str, text: str) -> list[DataFrame]:
-    rows = items.where(F.col(item_id).isNotNull() & F.col(text).isNotNull()).select(F.col(item_id).alias("i"), F.col(text).cast("string").alias("t")).distinct()
-    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = -(-total // BLOCK_BYTES) or 1
-    return [rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b) for b in range(n)] if n > 1 else [rows]
+def _item_blocks(items: DataFrame, window: int, item_id: str, text: str) -> Iterator[Callable[[], Phrases]]:
+    """Blocks of test items, one of them at a time in the driver, as what makes their phrases in a task."""
+    rows = items.where(F.col(item_id).isNotNull() & F.col(text).isNotNull()).select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("string").alias("t")).distinct()
+    rows = saved(rows, "test-items")
+    n = -(-(rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // BLOCK_BYTES) or 1
+    for b in range(n):
+        table = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).toArrow()
+        names = table["i"].to_pylist()
+        buf, bounds = text_bytes(table["t"])
+        yield lambda names=names, buf=buf, bounds=bounds: Phrases(names, buf, bounds, window)
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", share: int = 20) -> DataFrame:
@@ -205,21 +219,20 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc_i
     Null and empty texts have no words, hits or items; items without id, text or words are left out; items that repeat
     count once per id; each of several rows of one doc_id keeps its own row; without items nothing is hit; other
     columns of either table are not read. Segments are bounded in bytes, so a very long text is a segment of its own.
+    The index is read once for each BLOCK_BYTES of items.
     """
-    blocks = _item_blocks(items, item_id, item_text)
-    one = [(r["i"], r["t"]) for r in blocks[0].collect()] if len(blocks) == 1 else []
-    first = Phrases(one, window)
-    index = build_index(docs, None, doc_id, text)
-    hits = None
-    for k, block in enumerate(blocks):
-        phrases = first if len(blocks) == 1 else Phrases([(r["i"], r["t"]) for r in block.collect()], window)
-        part = map_batches(index, _searcher(phrases), HIT_SCHEMA)
-        hits = part if hits is None else hits.unionByName(part)
-    if len(blocks) > 1:
-        hits = hits.groupBy("segment", "place", "doc_id", "n_words").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    index = build_index(docs, doc_id, text)
+    blocks = _item_blocks(items, window, item_id, item_text)
+    hits = saved_parts((map_batches(index.select("segment", "doc_ids", "n_words", "terms", "postings"), _searcher(block), HIT_SCHEMA) for block in blocks), "phrase-hits")
+    per = hits.groupBy("segment", "place").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    rows = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("place", "x")).select("segment", "place", F.col("x.doc_ids").alias("doc_id"), F.col("x.n_words").cast("long").alias("n_words"))
+    found = rows.join(per, ["segment", "place"], "left")
     covered = F.expr("size(array_distinct(flatten(transform(spans, s -> sequence(s.start, s.stop - 1)))))")
-    hits = hits.withColumns({"n_hit": covered.cast("long"), "items": F.array_sort("items")})
-    return hits.select(
+    found = found.withColumns({
+        "n_hit": F.when(F.col("spans").isNull(), F.lit(0)).otherwise(covered).cast("long"),
+        "items": F.coalesce("items", F.array().cast("array<string>")), "spans": F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")),
+    })
+    return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "spans", "items",
     )
@@ -228,11 +241,14 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, doc_i
 def proximity(docs: DataFrame, items: DataFrame, slop: int, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id, position: where all words of a window of the item lie within slop words of its rarest word.
 
-    Order does not matter. Nulls, empty texts and repeated items are treated as in contamination().
+    Order does not matter. Null and empty texts and items are never near; an item that repeats, and ties, give one row a
+    place; each of several rows of one doc_id gives its own rows under that id; empty tables give no rows; other columns
+    are not read.
     """
 
-    def searcher(phrases: Phrases):
+    def searcher(block: Callable[[], Phrases]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            phrases = block()
             for _, ids, counts, terms, postings in _segments(batches):
                 gaps = np.repeat(np.arange(len(counts)), counts) * (slop + 1)  # no match across documents
                 moved = postings.copy()
@@ -240,16 +256,14 @@ def proximity(docs: DataFrame, items: DataFrame, slop: int, window: int = WINDOW
                 which, at = find_near(phrases, terms, moved, slop)
                 base = np.concatenate([[0], np.cumsum(counts)])[:-1] + np.arange(len(counts)) * (slop + 1)
                 doc = np.searchsorted(base, at, "right") - 1
-                rows = sorted({(ids[d], item, p) for w, d, p in zip(which, doc.tolist(), (at - base[doc]).tolist(), strict=True) for item in phrases.holders[w]}, key=str)
+                rows = sorted({(ids[d], item, p) for w, d, p in zip(which, doc.tolist(), (at - base[doc]).tolist(), strict=True) for item in phrases.holders(int(w))}, key=str)
                 yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.int64()))], ["doc_id", "item_id", "position"])
 
         return run
 
-    index, out = build_index(docs, None, doc_id, text), None
-    for block in _item_blocks(items, item_id, item_text):
-        part = map_batches(index, searcher(Phrases([(r["i"], r["t"]) for r in block.collect()], window)), "doc_id long, item_id string, position long")
-        out = part if out is None else out.unionByName(part)
-    return out
+    index = build_index(docs, doc_id, text)
+    blocks = _item_blocks(items, window, item_id, item_text)
+    return saved_parts((map_batches(index, searcher(block), "doc_id long, item_id string, position long") for block in blocks), "near-phrases")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
