@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, saved, saved_parts
 
 LEVELS = (1, 2, 4, 8, 16)  # segments per vector, coarse to fine
-#: Queries are sent to the tasks in blocks of about so many.
-QUERY_BLOCK = 4096
-ROWS = 1024  # candidate rows that are compared at once
+#: Queries are sent to the tasks in blocks of about so many; each block reads the candidates once.
+QUERY_BLOCK = 16384
+QUERIES, ROWS = 2048, 1024  # queries and candidate rows that are compared at once
+SEEDS = 1024  # candidates whose scores are the first thresholds
 EXACT = 2.0**52
 
 
@@ -49,14 +50,19 @@ def _integers(column) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarra
 
 
 class _Best:
-    """The k best candidates so far of each query of one width."""
+    """The k best candidates so far of each query of one width. seeds: some candidates, with their ids; the k-th best score
+    among them is a threshold that no result falls below."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, seeds: tuple[np.ndarray, np.ndarray]):
         self.ids, self.x, self.k = ids, x, k
         self.stats = [segment_statistics(x, s) for s in LEVELS]
         self.norm = np.sqrt((x * x).sum(1))
         self.rows: list[list[tuple]] = [[] for _ in ids]  # (-score, vec_id), ascending
         self.least = np.full(len(ids), -np.inf)
+        own, y = seeds
+        if len(own) >= k > 0 and x.size and np.abs(x).max() * np.abs(y).max() * x.shape[1] < EXACT:
+            scores = np.where(ids[:, None] == own, -np.inf, x @ y.T)
+            self.least = np.partition(scores, len(own) - k, axis=1)[:, len(own) - k]
 
     def add(self, ids: np.ndarray, x: np.ndarray) -> None:
         live, rows = np.arange(len(self.ids)), np.arange(len(x))
@@ -89,15 +95,19 @@ class _Best:
                 self.least[i] = float(-self.rows[i][-1][0]) if abs(self.rows[i][-1][0]) < EXACT else np.nextafter(float(-self.rows[i][-1][0]), -np.inf)
 
 
-def _searcher(ids: np.ndarray, vectors: pa.Array, k: int):
+def _searcher(ids: np.ndarray, vectors: pa.Array, k: int, seed_ids: np.ndarray, seeds: pa.Array):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = {n: _Best(ids[at], x, k) for n, (at, x) in _integers(vectors).items()}
+        first, best = _integers(seeds), {}
+        for n, (at, x) in _integers(vectors).items():
+            spot, y = first.get(n, (np.zeros(0, np.int64), np.zeros((0, n))))
+            best[n] = [_Best(ids[at[s : s + QUERIES]], x[s : s + QUERIES], k, (seed_ids[spot], y)) for s in range(0, len(at), QUERIES)]
         for batch in batches:
             own = batch.column(0).to_numpy(zero_copy_only=False)
             for n, (at, x) in _integers(batch.column(1)).items():
                 for s in range(0, len(at) if n in best else 0, ROWS):
-                    best[n].add(own[at[s : s + ROWS]].astype(np.int64), x[s : s + ROWS])
-        rows = [(int(q), v, max(-(2**63), min(2**63 - 1, -s))) for b in best.values() for q, found in zip(b.ids, b.rows, strict=True) for s, v in found]
+                    for some in best[n]:
+                        some.add(own[at[s : s + ROWS]].astype(np.int64), x[s : s + ROWS])
+        rows = [(int(q), v, max(-(2**63), min(2**63 - 1, -s))) for some in best.values() for b in some for q, found in zip(b.ids, b.rows, strict=True) for s, v in found]
         yield pa.record_batch([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], ["query_id", "vec_id", "score"])
 
     return run
@@ -108,23 +118,24 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, vec_id: str = "vec
 
     Ties go to the smaller vec_id. Rows with the query's own vec_id are its own and do not count; other rows that repeat
     each count. Vectors that are null or hold null or non-finite components, and rows without id, take no part; vectors
-    are compared with those of as many components. A query without candidates, and empty tables, give no rows. Scores
-    beyond 64 bits saturate.
+    are compared with those of as many components. Of several valid query rows of one id, the smallest vector (component by
+    component) is the query. A query without candidates, and empty tables, give no rows. Scores beyond 64 bits saturate.
 
-    Each task keeps the k best of a block of queries and drops a candidate as soon as its bound from segment means and
+    Queries are stored and sent in blocks; a block's results are stored before the next one starts. Each task keeps the k best of a block of queries and drops a candidate as soon as its bound from segment means and
     deviations (1, 2, ... 16 segments) falls below the k-th best score; survivors get the exact product.
     """
-    pick = lambda df: df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding")).where("vec_id is not null and embedding is not null")
-    asked, rows = pick(queries).dropDuplicates(["vec_id"]), pick(vectors)
-    n = -(-asked.count() // QUERY_BLOCK)
-    found = None
-    for b in range(n):
-        block = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == b).toArrow()
-        ids, x = block["vec_id"].to_numpy(), block["embedding"].combine_chunks()
-        part = map_batches(rows, _searcher(ids, x, k), "query_id long, vec_id long, score long")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return queries.sparkSession.range(0).select(F.lit(0).cast("long").alias("query_id"), F.lit(0).alias("rank"), F.lit(0).cast("long").alias("vec_id"), F.lit(0).cast("long").alias("score"))
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    pick = lambda df: df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding")).where(F.col("vec_id").isNotNull() & F.forall("embedding", finite))
+    asked, rows = saved(pick(queries).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "search-queries"), pick(vectors)
+    n = -(-asked.count() // QUERY_BLOCK) or 1
+    some = rows.limit(SEEDS).toArrow()
+    seeds = some["vec_id"].to_numpy(), some["embedding"].combine_chunks()
+
+    def block(b: int) -> DataFrame:
+        table = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == b).toArrow()
+        return map_batches(rows, _searcher(table["vec_id"].to_numpy(), table["embedding"].combine_chunks(), k, *seeds), "query_id long, vec_id long, score long")
+
+    found = saved_parts(map(block, range(n)), "search-results")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
