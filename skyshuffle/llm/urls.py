@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, saved
 
 BLOCK_WORDS = 4  # 64-bit words of a filter block
 HASHES = 6  # bits set per key, all in one block
@@ -63,7 +63,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     host, path, rule or verdict are replaced; an empty list gives every URL the default.
     """
     made = ("host", "path", "rule", "verdict")
-    pages = pages.drop(*made).withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
+    free = [c for k in range(len(pages.columns) + 2) if (c := f"made{k}") not in pages.columns][:2]
+    pages = pages.withColumns(dict(zip(free, (url_host(F.col(url)), url_path(F.col(url))), strict=True))).drop(*made).withColumnsRenamed(dict(zip(free, made, strict=False)))
     rules = rules.select("verdict", "rule_host", "rule_path").withColumn("key", F.concat_ws(" ", "rule_host", "rule_path"))
     shape = rules.agg(
         F.count("*").alias("n"),
@@ -91,16 +92,17 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     for w in range(BLOCK_WORDS):
         possible = possible.where(F.col(f"w{w}").bitwiseAND(F.col(f"m{w}")) == F.col(f"m{w}"))
     rank = F.struct(F.length("key"), F.when(F.col("verdict") == "block", 1).otherwise(0))
-    exact = (
+    exact = saved(
         possible.select("host", "path", "key").join(near(rules), "key")
         .groupBy("host", "path")
-        .agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), rank).alias("hit"))
+        .agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), rank).alias("hit")),
+        "url-hits",
     )
-    return (
-        pages.join(exact, ["host", "path"], "left")
-        .withColumns({"rule": F.col("hit.rule"), "verdict": F.coalesce(F.col("hit.verdict"), F.lit(default))})
-        .drop("hit")
-    )
+    # stored, so that AQE can split the join where one URL has very many pages; pages without host need none
+    hit = exact.select("host", "path", F.col("hit.rule").alias("rule"), F.col("hit.verdict").alias("verdict"))
+    met = pages.where(host != "").join(hit, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    rest = pages.where(host == "").withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+    return met.select(*rest.columns).unionByName(rest)
 
 
 RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
