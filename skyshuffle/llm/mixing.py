@@ -92,7 +92,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     document keeps its mean. Lists of about FAN_IN documents are rounded apart; the at most one document that each
     leaves undecided goes to the next level of the tree, until one list per source is left.
 
-    Slots and draws depend on doc_id, source and size alone: reruns agree whatever the partitions. Null and empty texts
+    Slots and draws depend on doc_id, source and size alone, and for rows that agree in all three on a number of each:
+    reruns agree whatever the partitions, and no doc_id, nor null, gathers in one list. Null and empty texts
     have size 0 and 0 copies; a null source is a source of its own; rows that repeat are decided one by one; an empty
     table gives no rows. A source of one row is one list; a hot source is many.
     """
@@ -102,10 +103,12 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     plan = targets.join(counts, targets["source"].eqNullSafe(counts["source"])).select(targets["source"].alias("s"), "source_size", "target", "n")
     most_n = plan.agg(F.max("n")).first()[0] or 0
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    state = rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
+    alike = rows.where("size > 0").groupBy("doc_key", "source", "size").agg(F.count("*").alias("m")).withColumn("number", F.explode(F.sequence(F.lit(1), F.col("m"))))
+    every = alike.select("doc_key", "source", "size", "number").unionByName(rows.where("size = 0").select("*", F.lit(0).cast("long").alias("number")))
+    state = every.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_key", "source", "size", F.when(F.col("size") > 0, F.floor(ratio)).otherwise(0).cast("long").alias("copies"),
         F.when(F.col("size") > 0, ratio - F.floor(ratio)).otherwise(0.0).alias("part"), "n",
-        F.xxhash64(F.col("doc_key").cast("string"), F.col("size"), F.lit(seed)).alias("spot"),
+        F.xxhash64(F.col("doc_key").cast("string"), F.col("size"), F.lit(seed), F.col("number")).alias("spot"),
     )
     schema = "doc_key long, source string, size long, copies long, part double, n long, spot long, level int, slot long"
     done, level, width = [], 0, most_n
