@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,9 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, text_bytes
+from .common import map_batches, pieces, text_bytes
 
-SAMPLE_BYTES = 32_768  # longer documents are not trained on
 PIECE_BYTES = 1 << 20
 
 
@@ -20,18 +20,28 @@ def crc_rest(doc_id: str, by: int):
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(by))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, doc_id: str, text: str) -> list[tuple[str, object]]:
-    """Texts and labels of at most `rows` documents of labels(doc_id, label), those with the smallest hash of doc_id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, doc_id: str, text: str) -> DataFrame:
+    """id, text, label of at most `rows` documents of labels(doc_id, label), those with the smallest hash of doc_id.
 
-    Only ids are ordered; texts are read by a join with that bounded list. Documents without text, longer than
-    SAMPLE_BYTES or with contradicting labels are left out; of rows that share a doc_id one is taken.
+    Only ids are ordered; texts are read by a join with that bounded list. Documents without text or with contradicting
+    labels are left out; of rows that share a doc_id the smallest text is taken.
     """
     one = labels.where(F.col(doc_id).isNotNull() & F.col("label").isNotNull()).groupBy(doc_id).agg(F.min("label").alias("label"), F.max("label").alias("other"))
     picked = one.where("label = other").select(F.col(doc_id).alias("_id"), "label").orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    texts = docs.where(F.col(text).isNotNull() & (F.octet_length(text) <= SAMPLE_BYTES))
-    found = texts.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked), "_id").groupBy("_id", "label").agg(F.min("_text").alias("_text"))
-    table = found.toArrow().sort_by("_id")
-    return list(zip(table["_text"].to_pylist(), table["label"].to_pylist(), strict=True))
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"))
+    return texts.join(F.broadcast(picked), "_id").groupBy("_id", "label").agg(F.min("_text").alias("_text")).select("_id", "_text", "label")
+
+
+def fitted(sample: DataFrame, fit: Callable[[Iterator[pa.RecordBatch]], object]):
+    """What fit makes of a bounded sample, whose rows come in order of their first column. One task fits; the driver gets
+    the fitted object alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.record_batch([pa.array([pickle.dumps(fit(batches))], pa.binary())], ["model"])
+
+    one = sample.repartition(1).sortWithinPartitions(sample.columns[0])
+    row = map_batches(one, run, "model binary").first()
+    return pickle.loads(row[0]) if row else fit(iter(()))  # an empty sample may have no task
 
 
 class Adam:

@@ -7,27 +7,32 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Words, map_batches, mix, pieces, text_bytes, words
-from .learning import PIECE_BYTES, Adam, by_piece, crc_rest, labelled_sample, softmax, temperature
+from .common import SUM_SCHEMA, SUM_TASKS, Words, map_batches, mix, pack, pieces, summed, text_bytes, unpack, words
+from .learning import PIECE_BYTES, Adam, by_piece, crc_rest, fitted, labelled_sample, softmax, temperature
 
 ROWS = 6000  # labelled documents that are trained on at most
 BUCKETS, DIM, NONZERO, CONTEXT = 4096, 48, 4, 2
 SHAPES, RELATIONS = 1024, 8
+SLICE = 64  # symbols whose sums travel together
 HIDDEN = 32
 FIT_BYTES = 1 << 18  # text that training holds words of at once
 BLOCK = 256  # documents whose symbols are counted at once
 THRESHOLD = 0.7
 
 
+def _index_spots(n: int, seed: int) -> np.ndarray:
+    """Sparse random index vectors, as the places of their nonzeros: -1 at the even ones, +1 at the odd ones."""
+    return np.random.default_rng(seed).integers(0, DIM, (NONZERO, n))
+
+
 def _index_vectors(n: int, seed: int) -> np.ndarray:
-    """Sparse random index vectors: a few +1 and -1 each."""
-    rng = np.random.default_rng(seed)
     out = np.zeros((n, DIM), np.float32)
-    for k in range(NONZERO):
-        out[np.arange(n), rng.integers(0, DIM, n)] += 1.0 if k % 2 else -1.0
+    for k, spot in enumerate(_index_spots(n, seed)):
+        out[np.arange(n), spot] += 1.0 if k % 2 else -1.0
     return out
 
 
@@ -90,6 +95,48 @@ class Sample(NamedTuple):
         return cls(found.doc.astype(np.int32), bucket.astype(np.uint16), shape.astype(np.uint16), relation.astype(np.uint8), found.counts)
 
 
+def _add_contexts(total: np.ndarray, symbol: np.ndarray, doc: np.ndarray, spots: np.ndarray) -> None:
+    """Adds to each symbol the index vectors of its neighbours within CONTEXT words: whole numbers, in any order."""
+    symbol = symbol.astype(np.int64)
+    for back in range(1, min(CONTEXT, len(symbol) - 1) + 1):
+        near = doc[back:] == doc[:-back]
+        left, right = symbol[:-back][near], symbol[back:][near]
+        for own, other in ((left, right), (right, left)):
+            for k, spot in enumerate(spots):
+                found = np.bincount(own * DIM + spot[other], minlength=total.size)
+                total += found if k % 2 else -found
+
+
+def _count_contexts(seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() // SUM_TASKS
+        sizes = (BUCKETS, SHAPES)
+        spots = [_index_spots(n, seed + k) for k, n in enumerate(sizes)]
+        totals = [np.zeros(n * DIM, np.int64) for n in sizes]
+        for batch in batches:
+            buf, bounds = text_bytes(batch.column(0))
+            for i, j in pieces(bounds, FIT_BYTES):
+                own = Sample.of(words(buf[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], lower=True))
+                _add_contexts(totals[0], own.bucket, own.doc, spots[0])
+                _add_contexts(totals[1], own.shape, own.doc, spots[1])
+        slices = np.concatenate(totals).reshape(-1, SLICE * DIM)
+        some = np.flatnonzero(slices.any(1))
+        yield pa.record_batch([pa.array(some, pa.int32()), pa.array([part] * len(some), pa.int32()), pa.array([pack(slices[k].view(np.uint64)) for k in some], pa.binary())], ["slice", "part", "data"])
+
+    return run
+
+
+def corpus_contexts(docs: DataFrame, text: str = "text", seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the index vectors around every word bucket and every word shape, over all texts: of one size whatever the
+    corpus. Tasks send their sums in slices, which are added in two levels."""
+    found = map_batches(docs.select(F.col(text).cast("string").alias("text")), _count_contexts(seed), SUM_SCHEMA)
+    total = np.zeros(((BUCKETS + SHAPES) // SLICE, SLICE * DIM), np.int64)
+    for r in summed(found).toArrow().to_pylist():
+        total[r["slice"]] = unpack(r["data"]).view(np.int64)
+    total = total.reshape(-1, DIM)
+    return total[:BUCKETS], total[BUCKETS:]
+
+
 class QualityModel:
     """Fitted by fit(); the context vectors and the network are all that it holds."""
 
@@ -107,37 +154,30 @@ class QualityModel:
         parts = [word, np.sqrt((word * word).sum(1, keepdims=True)), _pooled(n, own.doc, own.shape, self.shapes), _pooled(n, own.doc, own.relation, self.relations), np.log1p(own.counts)[:, None]]
         return np.concatenate(parts, 1).astype(np.float32)
 
-    def _context(self, symbols: list[np.ndarray], docs: list[np.ndarray], size: int, seed: int) -> np.ndarray:
-        """Context vectors: the index vectors of neighbours within CONTEXT words, summed over the sample, of unit length, plus the own one."""
-        index = _index_vectors(size, seed)
-        total = np.zeros((size, DIM), np.float32)
-        for symbol, doc in zip(symbols, docs, strict=True):
-            around = np.zeros((len(symbol), DIM), np.float32)
-            for back in range(1, min(CONTEXT, len(symbol) - 1) + 1):
-                near = doc[back:] == doc[:-back]
-                around[back:][near] += index[symbol[:-back][near]]
-                around[:-back][near] += index[symbol[back:][near]]
-            np.add.at(total, symbol, around)
+    def _context(self, total: np.ndarray, seed: int) -> np.ndarray:
+        """Context vectors: the corpus's sums at unit length, plus the own index vector."""
+        total = total.astype(float)
         norm = np.sqrt((total * total).sum(1, keepdims=True))
-        return total / np.maximum(norm, 1) + index / np.sqrt(NONZERO)
+        return (total / np.maximum(norm, 1) + _index_vectors(len(total), seed) / np.sqrt(NONZERO)).astype(np.float32)
 
     def _logits(self, x: np.ndarray) -> np.ndarray:
         w = self.weights
         return np.maximum((x - self.mean) / self.spread @ w["w1"] + w["b1"], 0) @ w["w2"] + w["b2"]
 
-    def fit(self, sample: list[tuple[str, object]], epochs: int = 60) -> QualityModel:
+    def fit(self, batches: Iterator[pa.RecordBatch], contexts: tuple[np.ndarray, np.ndarray], epochs: int = 60) -> QualityModel:
+        """The network learns from batches of id, text, label; no more than their features is held."""
         rng = np.random.default_rng(self.seed)
-        gold = np.array([int(y) for _, y in sample], np.int64)
+        self.words, self.shapes = (self._context(total, self.seed + k) for k, total in enumerate(contexts))
+        x, gold = [], []
+        for batch in batches:
+            buf, bounds = text_bytes(batch.column(1))
+            x += [self._features(Sample.of(words(buf[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], lower=True))) for i, j in pieces(bounds, FIT_BYTES)]
+            gold += batch.column(2).to_pylist()
+        gold = np.array(gold, np.int64)
         if len(set(gold.tolist())) < 2:  # nothing to tell apart: every score is the share of label 1
             self.prior, self.words = (float(gold.mean()) if len(gold) else 1.0), None
             return self
-        buf, bounds = text_bytes(pa.array([t for t, _ in sample], pa.large_string()))
-        batches = [Sample.of(words(buf[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], lower=True)) for i, j in pieces(bounds, FIT_BYTES)]
-        del buf, bounds
-        self.words = self._context([b.bucket for b in batches], [b.doc for b in batches], BUCKETS, self.seed)
-        self.shapes = self._context([b.shape for b in batches], [b.doc for b in batches], SHAPES, self.seed + 1)
-        x = np.concatenate([self._features(b) for b in batches])
-        del batches
+        x = np.concatenate(x)
         order = rng.permutation(len(x))
         back, train = order[: len(x) // 5], order[len(x) // 5 :]
         self.mean, self.spread = x[train].mean(0), x[train].std(0) + 1e-3
@@ -166,9 +206,11 @@ class QualityModel:
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, rows: int = ROWS, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> QualityModel:
-    """A model fitted on at most `rows` labelled documents outside the held-out fold (crc32 of doc_id modulo 4 is 2)."""
+    """A model whose context vectors come from all texts, and whose network is fitted on at most `rows` labelled documents
+    outside the held-out fold (crc32 of doc_id modulo 4 is 2)."""
     learnt = labels.select(F.col(doc_id), F.col(quality).cast("int").alias("label")).where(crc_rest(doc_id, 4) != 2)
-    return QualityModel().fit(labelled_sample(docs, learnt, rows, doc_id, text))
+    contexts = corpus_contexts(docs, text)
+    return fitted(labelled_sample(docs, learnt, rows, doc_id, text), lambda batches: QualityModel().fit(batches, contexts))
 
 
 def score_quality(docs: DataFrame, model: QualityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
