@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches
-from .learning import Adam, by_piece, crc_rest, labelled_sample, softmax
+from .common import map_batches, pieces, text_bytes
+from .learning import PIECE_BYTES, Adam, by_piece, crc_rest, fitted, labelled_sample, softmax
 
 ROWS = 2500  # documents that are trained on at most
 LENGTH, EMBED, WIDTHS, FILTERS = 256, 8, (2, 3, 4, 5), 8
 WIDEST = max(WIDTHS)
 PAD = 256
 BATCH = 256  # windows at a time
-PER_DOC = 6  # windows of one training document
+PER_DOC = 6  # windows, drawn from the whole text, that a training document lends at most
 
 
 def _fold() -> np.ndarray:
@@ -70,15 +72,20 @@ class ByteNetwork:
             out.append(np.maximum(maps.max(1) + w["bias"], 0) @ w["out"] + w["out_bias"])
         return np.concatenate(out) if out else np.zeros((0, len(self.langs)), np.float32)
 
-    def fit(self, sample: list[tuple[str, object]], epochs: int = 8) -> ByteNetwork:
+    def fit(self, batches: Iterator[pa.RecordBatch], epochs: int = 8) -> ByteNetwork:
+        """Learns from batches of id, text, label; no more than PER_DOC windows of each text are held."""
         rng = np.random.default_rng(self.seed)
-        self.langs = sorted({str(y) for _, y in sample})
-        gold = np.array([self.langs.index(str(y)) for _, y in sample], np.int64)
-        text = [t.encode() for t, _ in sample]
-        bounds = np.concatenate([[0], np.cumsum([len(t) for t in text])]).astype(np.int64)
-        window, doc, _ = byte_windows(np.frombuffer(b"".join(text), np.uint8), bounds)
-        some = np.concatenate([rng.permutation(w)[:PER_DOC] for w in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1)]) if len(doc) else np.zeros(0, np.int64)
-        window, label = window[some], gold[doc[some]] if len(doc) else gold
+        parts, names = [np.zeros((0, LENGTH + WIDEST - 1), np.int16)], []
+        for batch in batches:
+            buf, bounds = text_bytes(batch.column(1))
+            said = batch.column(2).to_pylist()
+            for i, j in pieces(bounds, PIECE_BYTES):
+                window, doc, _ = byte_windows(buf[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
+                some = [w for own in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1) for w in rng.permutation(own)[:PER_DOC].tolist()]
+                parts.append(window[some].astype(np.int16))
+                names += [str(said[i + d]) for d in doc[some].tolist()]
+        self.langs = sorted(set(names))
+        window, label = np.concatenate(parts), np.array([self.langs.index(y) for y in names], np.int64)
         f = FILTERS * len(WIDTHS)
         mask = self._mask()
         self.weights = {
@@ -91,7 +98,7 @@ class ByteNetwork:
         w, optimiser = self.weights, Adam(self.weights, 4e-3)
         for _ in range(epochs):
             for part in np.array_split(rng.permutation(len(window)), max(1, len(window) // 64)):
-                n, cells = len(part), window[part].copy()
+                n, cells = len(part), window[part].astype(np.int64)
                 cut = rng.integers(12, LENGTH + 1, n)  # short texts are seen too
                 cells[np.arange(cells.shape[1]) >= np.where(rng.random(n) < 0.3, cut, LENGTH)[:, None]] = PAD
                 columns = self._columns(cells)
@@ -136,9 +143,10 @@ def has_letter(buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def train_language(docs: DataFrame, rows: int = ROWS, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> ByteNetwork:
-    """A network fitted on at most `rows` documents outside the held-out fold (crc32 of doc_id modulo 5 is 0)."""
+    """A network fitted on at most `rows` documents outside the held-out fold (crc32 of doc_id modulo 5 is 0), with at
+    most PER_DOC windows of each, drawn from the whole text."""
     learnt = docs.select(F.col(doc_id), F.col(lang).alias("label")).where((crc_rest(doc_id, 5) != 0) & F.col("label").isNotNull())
-    return ByteNetwork().fit(labelled_sample(docs, learnt, rows, doc_id, text))
+    return fitted(labelled_sample(docs, learnt, rows, doc_id, text), ByteNetwork().fit)
 
 
 def identify_language(docs: DataFrame, network: ByteNetwork, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
