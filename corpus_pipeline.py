@@ -1,7 +1,8 @@
 """The corpus pipeline: stages over documents, each written as Parquet and read again.
 
-A row without doc_id cannot be followed through the stages: the first one drops it. All other rows go on until a stage
-decides against them; null and empty texts pass every filter that their score or links allow.
+No row is lost but by a stage's decision. Rows are told apart by doc_id where it is one row's own; rows without doc_id and
+rows that share one get a key of their own behind it, so each is judged by its own text. Null and empty texts pass every
+filter that their score or links allow.
 """
 
 from __future__ import annotations
@@ -18,70 +19,104 @@ from skyshuffle.llm.mixing import mix_sources
 from skyshuffle.llm.quality import keep_quality, train_quality
 from skyshuffle.llm.substrings import remove_substrings
 
-#: A list of at most so many doc_ids is broadcast; a longer one is joined by shuffle.
-BROADCAST_IDS = 1_000_000
-_OWN: list[str] = []  # tables of the stage before, which are done with once its result is written
+#: A list of at most so many keys is broadcast; a longer one is joined by shuffle.
+BROADCAST_KEYS = 1_000_000
 
 
-def _stage(decide: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        common.drop_tables(spark, [p for p in _OWN if p in common.TABLES])
-        before = set(common.TABLES)
-        out = decide(spark, docs, sf_dir)
-        _OWN[:] = [p for p in common.TABLES if p not in before]
-        return out
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with an added column that tells every row from all others, and its name.
 
-    stage.__name__ = decide.__name__
-    return stage
+    The key is doc_id where that is one row's own. The other rows are stored in order of doc_id (null last), text and all
+    else, and take keys above all doc_ids (below, where there is no room above) in that order.
+    """
+    key = next(name for name in ("row_key", *(f"row_key{k}" for k in range(len(docs.columns) + 1))) if name not in docs.columns)
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    odd = F.col("doc_id").isNull() | (F.col("n") > 1)
+    said = ids.agg(F.count_if(odd).alias("odd"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    own = docs.withColumn(key, F.col("doc_id").cast("long"))
+    if not said["odd"]:
+        return own, key
+    shared = common.saved(ids.where("doc_id is not null and n > 1").select("doc_id"), "shared-ids")
+    rows = docs.where(F.col("doc_id").isNull()).unionByName(docs.join(shared, "doc_id", "left_semi").select(*docs.columns))
+    rest = F.to_json(F.struct(*docs.columns))
+    place = common.saved(rows.orderBy(F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_last(), rest).withColumn(key, F.monotonically_increasing_id()), "odd-rows")
+    low, high = said["low"] or 0, said["high"] or 0
+    number = F.lit(high + 1) + F.col(key) if high < 1 << 62 else F.lit(low - (1 << 62)) + F.col(key)
+    alone = own.where(F.col("doc_id").isNotNull()).join(shared, "doc_id", "left_anti").select(*own.columns)
+    return alone.unionByName(place.withColumn(key, number.cast("long"))), key
 
 
-def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """docs but those in ids(doc_id)."""
-    ids = common.saved(ids, name)
-    return docs.join(F.broadcast(ids) if common.few(ids, BROADCAST_IDS) else ids, "doc_id", "left_anti")
+def _without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """The rows of docs, without the key column, whose key gone(key) does not hold. gone is stored, of one column."""
+    return docs.join(F.broadcast(gone) if common.few(gone, BROADCAST_KEYS) else gone, key, "left_anti").drop(key)
 
 
-@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the classifier rejects."""
-    docs = docs.where(F.col("doc_id").isNotNull())
+    """Drops documents that the classifier rejects.
+
+    Null and empty texts are scored as texts without words, rows that repeat get equal scores, other columns are kept
+    as they are, an empty table stays empty.
+    """
     return keep_quality(docs, train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
-@_stage
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each component of near duplicates; of rows that share it, one."""
-    found = common.saved(near_duplicates(docs).select("doc_id", "component_id"), "components-of-documents")
-    repeated = found.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    kept = _without(docs, found.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
-    if not repeated.take(1):
-        return kept
-    again = common.saved(repeated, "repeated-ids")
-    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    """Keeps one row of each component of near duplicates: the one with the smallest doc_id that is its own, else the first
+    in order of doc_id (null last), text and all else.
+
+    Texts without words have no duplicates: all such rows stay. Other columns are kept as they are, an empty table stays
+    empty, rows that repeat are duplicates of each other.
+    """
+    with common.tables() as kept:
+        rows, key = _keyed(docs)
+        with common.tables() as spent:
+            found = near_duplicates(rows.select(key, "text"), doc_id=key)
+            gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(key))
+            gone = common.saved(gone, "near-duplicates")
+            kept.append(spent.pop())
+            common.drop_tables(spark, spent)
+    return _without(rows, key, gone)
 
 
-@_stage
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated passages out of all documents but the first; n_chars follows the text."""
+    """Takes repeated passages out of all documents but the first; n_chars follows the text.
+
+    Null texts stay null; rows that share a doc_id or have none do not take passages from each other; texts without
+    repeats and other columns stay as they are; an empty table stays empty.
+    """
     out, changed = remove_substrings(docs)
-    length = F.when(F.col(changed), F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", length).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        length = F.when(F.col(changed), F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
 
 
-@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that are contaminated with benchmark items."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found.where("contaminated").select("doc_id").distinct(), "contaminated")
+    """Drops documents that are contaminated with benchmark items.
+
+    Null and empty texts are not contaminated; each row is judged by its own text, whatever its doc_id; other columns are
+    kept as they are; an empty table stays empty.
+    """
+    with common.tables() as kept:
+        rows, key = _keyed(docs)
+        with common.tables() as spent:
+            found = contamination(rows.select(key, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id=key)
+            gone = common.saved(found.where("contaminated").select(F.col("doc_id").alias(key)), "contaminated")
+            kept.append(spent.pop())
+            common.drop_tables(spark, spent)
+    return _without(rows, key, gone)
 
 
-@_stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often the mix takes each document."""
+    """How often the mix takes each document.
+
+    Null and empty texts have size 0 and are not taken; a null source is one of its own; rows that repeat are decided one
+    by one; an empty table gives no rows.
+    """
     return mix_sources(docs)
 
 
-STAGES = [
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", quality),
     ("near_duplicate", near_duplicate),
     ("substring_dedup", substring_dedup),
@@ -93,10 +128,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; every result but the last is stored and read again."""
+    """All stages over documents; every result but the last is stored and read again, and what a stage stored is deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = common.saved(docs, f"stage-{name}")
-    return docs
+    before: list[str] = []
+    for name, stage in STAGES[:-1]:
+        with common.tables() as spent:
+            out = stage(spark, docs, sf_dir)
+        with common.tables() as result:
+            docs = common.saved(out, f"stage-{name}")
+        common.drop_tables(spark, spent + before)
+        before = list(result)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 
 from .chunks import answered, chunk_table, expand, load, rows_of, squeeze
 from .common import Words, lean, lean_group, map_batches, mix, pack, pack_sorted, saved, unpack, unpack_sorted, windows, words
-from .components import components
+from .components import components, rejoined
 
 SHINGLE, GROUPS = 5, 256
 PART_SHINGLES = 2_000_000
-SEEDS = 256  # documents of a block in which first links are sought
-SLOT = 4096  # documents of one half of a block in the exact search
+SEEDS, SEED_SHINGLES = 256, 500_000  # documents of a block in which first links are sought, and about how many shingles
+SLOT = 512  # documents of one half of a block in the exact search
 TILE, TILE_SHINGLES = 256, 250_000  # classes, and about how many shingles, of one half of a component whose links are counted
 COLUMNS = 2048  # shingles that are multiplied at once
 
@@ -202,7 +202,10 @@ def _sets(bodies) -> ShingleSets:
 
 
 def _first_links(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Links that join the documents of a small block; pairs that are joined already are not verified."""
+    """What verified links join in a small block, as stars: each document with the first of those that it is joined with.
+
+    Pairs that are joined already are not verified.
+    """
     sets = _sets(pdf["body"])
     points = sets.counts()
     tree, root = CountTree(points), list(range(len(pdf)))
@@ -213,14 +216,14 @@ def _first_links(pdf: pd.DataFrame) -> pd.DataFrame:
             k = root[k]
         return k
 
-    links = []
     for k in range(len(pdf)):
         near = tree.search(points[k], int(sets.sizes[k]))
         for other in np.sort(near[near < k]).tolist():
             if find(other) != find(k) and overlap(sets.of(k), sets.of(other)) >= needed(int(sets.sizes[k]), int(sets.sizes[other])):
                 root[max(find(k), find(other))] = min(find(k), find(other))
-                links.append((pdf["node"].iloc[k], pdf["node"].iloc[other]))
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    node, first = pdf["node"].to_numpy(), np.array([find(k) for k in range(len(pdf))], np.int64)
+    moved = np.flatnonzero(first != np.arange(len(pdf)))
+    return pd.DataFrame({"a": node[moved], "b": node[first[moved]]}, dtype="int64")
 
 
 def _possible_pairs(probe: bool):
@@ -243,16 +246,19 @@ def _possible_pairs(probe: bool):
             if not len(near):
                 continue
             if not probe:
-                yield np.full(len(near), node[k]), node[near]
+                yield np.full(len(near), node[k]), node[near], np.full(len(near), label[k]), label[near]
                 continue
             share = np.minimum(points[near], points[k]).sum(1) / (size[near] + size[k])
             for other in near[np.argsort(-share, kind="stable")].tolist():
                 both = (min(label[k], label[other]), max(label[k], label[other]))
                 found = float(np.minimum(points[other], points[k]).sum() / (size[other] + size[k]))
                 if found > best.get(both, (0.0,))[0]:
-                    best[both] = (found, node[k], node[other])
+                    best[both] = (found, node[k], node[other], label[k], label[other])
         if best:
-            yield np.array([x[1] for x in best.values()]), np.array([x[2] for x in best.values()])
+            yield tuple(np.array([x[c] for x in best.values()]) for c in (1, 2, 3, 4))
+
+    def frame_of(found: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame({name: np.concatenate([p[c] for p in found]) for c, name in enumerate(("a", "b", "x", "y"))}).drop_duplicates()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -263,10 +269,10 @@ def _possible_pairs(probe: bool):
             found = [p for a, b in zip(cuts[:-1], cuts[1:], strict=True) for p in pairs(frame.iloc[a:b])]
             rest = frame.iloc[cuts[-1] :].reset_index(drop=True)
             if found:
-                yield pd.DataFrame({"a": np.concatenate([p[0] for p in found]), "b": np.concatenate([p[1] for p in found])}).drop_duplicates()
+                yield frame_of(found)
         found = list(pairs(rest)) if rest is not None and len(rest) else []
         if found:
-            yield pd.DataFrame({"a": np.concatenate([p[0] for p in found]), "b": np.concatenate([p[1] for p in found])})
+            yield frame_of(found)
 
     return run
 
@@ -281,7 +287,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(possible: DataFrame, joined: DataFrame, probe: bool) -> DataFrame:
-    """Verified links between documents that joined(node, component) does not yet hold together: all, or as a probe some."""
+    """The components (a, b) that verified links join and joined(node, component) does not: by all links, or as a probe by some."""
     labels = possible.select("node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
     entries = possible.select("node", F.explode("rare").alias("shingle")).join(labels, "node")
     mixed = entries.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x <> y")
@@ -290,10 +296,10 @@ def _links(possible: DataFrame, joined: DataFrame, probe: bool) -> DataFrame:
     halves = F.explode(F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda o: F.struct(F.least(o, "slot").alias("left"), F.greatest(o, "slot").alias("right"))))
     blocks = entries.withColumn("h", halves).select("shingle", "node", "label", "slot", "h.left", "h.right").join(possible.select("node", "counts"), "node")
     blocks = blocks.repartition("shingle", "left", "right").sortWithinPartitions("shingle", "left", "right")
-    pairs = saved(blocks.mapInPandas(lean(_possible_pairs(probe)), "a long, b long").distinct(), "possible-pairs")
+    pairs = saved(blocks.mapInPandas(lean(_possible_pairs(probe)), "a long, b long, x long, y long").distinct(), "possible-pairs")
     body = possible.select("node", "body")
-    wanted = pairs.join(body.toDF("a", "body_a"), "a").join(body.toDF("b", "body_b"), "b").select("a", "b", "body_a", "body_b")
-    return saved(map_batches(wanted, _verify, "a long, b long"), "links")
+    wanted = pairs.join(body.toDF("a", "body_a"), "a").join(body.toDF("b", "body_b"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"), "body_a", "body_b")
+    return map_batches(wanted, _verify, "a long, b long")
 
 
 def overlaps(sets: ShingleSets) -> np.ndarray:
@@ -400,17 +406,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "shingle-possible",
     )
 
-    seeds = possible.select("node", F.explode("seeds").alias("seed"))
-    crowd = seeds.groupBy("seed").agg(F.count("*").alias("m")).where("m > 1")
-    seeds = seeds.join(crowd, "seed").withColumn("salt", F.pmod(F.xxhash64("node", "seed"), F.ceil(F.col("m") / SEEDS)))
-    first = saved(seeds.join(possible.select("node", "body"), "node").select("node", "seed", "salt", "body").groupBy("seed", "salt").applyInPandas(_first_links, "a long, b long"), "first-links")
+    seeds = possible.select("node", "n", F.explode("seeds").alias("seed"))
+    crowd = seeds.groupBy("seed").agg(F.count("*").alias("m"), F.sum("n").alias("s")).where("m > 1")
+    parts = F.greatest(F.ceil(F.col("m") / SEEDS), F.least("m", F.ceil(F.col("s") / SEED_SHINGLES)))
+    seeds = seeds.join(crowd, "seed").withColumn("salt", F.pmod(F.xxhash64("node", "seed"), parts))
+    first = seeds.join(possible.select("node", "body"), "node").select("node", "seed", "salt", "body").groupBy("seed", "salt").applyInPandas(_first_links, "a long, b long")
     joined = components(first)
-    joining = _links(possible, joined, probe=True)
-    joined = components(joined.toDF("a", "b").unionByName(joining))
+    joined = rejoined(joined, components(_links(possible, joined, probe=True)))
     joining = _links(possible, joined, probe=False)
-    doubled = known.groupBy("doc_id").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y").select("doc_id")
-    same_id = known.select("doc_id", "s1", "s2", "n").join(doubled, "doc_id", "left_semi").join(classes, ["s1", "s2", "n"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    final = components(joined.toDF("a", "b").unionByName(joining).unionByName(same_id))
+    doubled = saved(known.groupBy("doc_id").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).where("x <> y").select("doc_id"), "ids-of-several-sets")
+    if doubled.take(1):  # each such row with the first of its id
+        label = classes.join(joined, "node", "left").select("s1", "s2", "n", F.coalesce("component", "node").alias("label"))
+        same_id = known.select("doc_id", "s1", "s2", "n").join(doubled, "doc_id", "left_semi").join(label, ["s1", "s2", "n"])
+        least = same_id.groupBy("doc_id").agg(F.min("label").alias("b"))
+        joining = joining.unionByName(same_id.join(least, "doc_id").select(F.col("label").alias("a"), "b"))
+    final = rejoined(joined, components(joining))
 
     # a class may hold a third of all rows: its component is found for the class, and AQE can split the one join with rows,
     # as a stored table stands on the other side of it
