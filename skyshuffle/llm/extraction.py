@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_batches
-from .learning import Adam
-from .markup import Block, blocks
+from .learning import Adam, fitted
+from .markup import Block, Element, blocks
 
 PATH, WORD, SHAPE = 64, 32, 8
 FEATURES = PATH + WORD + SHAPE
@@ -31,16 +31,30 @@ def _spot(word: str, size: int) -> tuple[int, float]:
     return h % size, 1.0 if h & 0x10000 else -1.0
 
 
+def _path(element: Element | None, cache: dict[str, tuple[int, float]]) -> np.ndarray:
+    """The hashed path down to an element; each element adds to the vector of the one around it."""
+    way = []
+    while element is not None and element.seen is None:
+        way.append(element)
+        element = element.parent
+    x = np.zeros(PATH, np.float32) if element is None else element.seen
+    for element in reversed(way):
+        x = x.copy()
+        for word in (f"t:{element.name}", *(f"h:{w}" for w in element.hints)):
+            if word not in cache:
+                cache[word] = _spot(word, PATH)
+            k, sign = cache[word]
+            x[k] = sign
+        element.seen = x
+    return x
+
+
 def features(block: Block, place: float, cache: dict[str, tuple[int, float]]) -> np.ndarray:
     """Hashed tag path with its class, id and role words, hashed words, and the shape of the text."""
     x = np.zeros(FEATURES, np.float32)
-    path = [f"t:{name}" for name, _ in block.path] + [f"h:{w}" for _, hints in block.path for w in hints]
-    path += [f"l:{block.path[-1][0]}" if block.path else "l:"]
-    for word in path:
-        if word not in cache:
-            cache[word] = _spot(word, PATH)
-        k, sign = cache[word]
-        x[k] = sign
+    x[:PATH] = _path(block.inside, cache)
+    k, sign = _spot(f"l:{block.inside.name if block.inside else ''}", PATH)
+    x[k] = sign
     text = block.text
     found = text.split(" ")
     for word in found:
@@ -49,7 +63,7 @@ def features(block: Block, place: float, cache: dict[str, tuple[int, float]]) ->
     x[PATH : PATH + WORD] = np.clip(x[PATH : PATH + WORD] / np.sqrt(len(found)), -2, 2)
     n = len(text)
     stops = sum(text.count(c) for c in ".!?")
-    x[PATH + WORD :] = (np.log1p(n) / 5, min(1.0, block.linked / n), min(1.0, 20 * stops / n), "©" in text or "(c)" in text.lower(), place, len(_DIGIT.findall(text)) / n, len(block.path) / 10, len(found) < 4)
+    x[PATH + WORD :] = (np.log1p(n) / 5, min(1.0, block.linked / n), min(1.0, 20 * stops / n), "©" in text or "(c)" in text.lower(), place, len(_DIGIT.findall(text)) / n, min(50, block.inside.depth if block.inside else 0) / 10, len(found) < 4)
     return x
 
 
@@ -100,6 +114,7 @@ def _part(rng: random.Random, kind: str) -> str:
         body = _mark(0, rng.choice(["&copy; ", "© ", "", "All rights reserved. "]) + f"{_word(rng)}.example &middot; {_sentences(rng, rng.randint(0, 3))}") if rng.random() < 0.7 else f"<p>{_mark(0, '© ' + _word(rng))}</p><p>{link()} {link()}</p>"
     elif kind == "form":
         body = f"<label>{_mark(0, _word(rng))}</label><input name=q><button>{_mark(0, _word(rng))}</button>" + (f"<p>{_mark(0, _sentences(rng, 1))}</p>" if rng.random() < 0.4 else "")
+        body += "<select>" + "".join(f"<option>{_mark(0, _word(rng))}" for _ in range(rng.randint(1, 5))) + "</select>" if rng.random() < 0.3 else ""
     elif kind == "comments":
         body = "".join(f'<{t} class="{rng.choice(["comment", "reply", "c"])}"><p>{_mark(0, _sentences(rng, rng.randint(1, 5)))}</p></{t}>' for t in [rng.choice(["div", "li", "article"])] for _ in range(rng.randint(1, 6)))
         body = (f"<h3>{_mark(0, _word(rng))}</h3>" if rng.random() < 0.6 else "") + body
@@ -109,6 +124,9 @@ def _part(rng: random.Random, kind: str) -> str:
         body = _mark(0, _sentences(rng, rng.randint(1, 5)))
         body = f"<p>{body}</p>" if rng.random() < 0.4 else body
         body += link() if rng.random() < 0.3 else ""
+        if rng.random() < 0.15:
+            shell = rng.choice(["noscript", "object", "template", "svg"])
+            body = f"<{shell}>{body}</{shell}>"
     return f"<{tag}{attr}>{body}</{tag}>"
 
 
@@ -285,7 +303,7 @@ def extract_main_text(pages: DataFrame, labeller: BlockLabeller, url: str = "url
 
     text joins the blocks that the network takes for main text, in page order, by one newline; white space inside a block
     is one space, character references are decoded, nothing else is dropped or cut. Null and empty pages, and pages
-    without main text, give the empty string; broken markup is read as far as it goes; rows that repeat get equal
+    without main text, give the empty string; broken markup is read as it comes, however often tags are left open; rows that repeat get equal
     results; an empty table gives no rows; other columns are not read.
     """
 
@@ -303,4 +321,5 @@ def extract_main_text(pages: DataFrame, labeller: BlockLabeller, url: str = "url
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), train_labeller())
+    labeller = fitted(spark.range(1), lambda batches: train_labeller())  # in a task: the driver only passes it on
+    return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), labeller)

@@ -5,10 +5,10 @@ from __future__ import annotations
 import html
 import re
 
-#: Elements inside a line, elements without content, elements whose content is no text, closed by a like one.
+#: Elements inside a line, elements without content, elements whose content is no markup up to a like end tag.
 INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-OPAQUE = ("script", "style", "noscript", "template", "svg", "iframe", "object", "head", "title", "textarea", "select")
+RAW = ("script", "style", "title", "textarea", "iframe")
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 
 _TOKEN = re.compile(
@@ -18,29 +18,73 @@ _TOKEN = re.compile(
 )
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in OPAQUE if name != "head"}
+_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
+class Element:
+    """An open element: its name, the words of its class, id and role, and the element around it."""
+
+    __slots__ = ("name", "hints", "parent", "depth", "seen")
+
+    def __init__(self, name: str, hints: tuple[str, ...], parent: Element | None):
+        self.name, self.hints, self.parent = name, hints, parent
+        self.depth = parent.depth + 1 if parent else 1
+        self.seen = None  # room for what a reader makes of the path down to here
+
+
 class Block:
-    """Text with white space as single spaces; its path of tags with class, id and role words; characters in links."""
+    """Text with white space as single spaces; the innermost element around it; characters in links."""
 
-    __slots__ = ("text", "path", "linked")
+    __slots__ = ("text", "inside", "linked")
 
-    def __init__(self, text: str, path: tuple, linked: int):
-        self.text, self.path, self.linked = text, path, linked
+    def __init__(self, text: str, inside: Element | None, linked: int):
+        self.text, self.inside, self.linked = text, inside, linked
 
 
 def _hints(tag: str) -> tuple[str, ...]:
     return tuple(w.lower() for value in _HINT.findall(tag) for w in _WORDS.findall(value))
 
 
-def blocks(source: str | None) -> list[Block]:
-    """Blocks in page order; never fails. Comments, scripts, styles, the head and other content that is no text are left out."""
+class _Open:
+    """The open elements, with the places of each name and of those that an element cannot close over: no tag walks them."""
+
+    def __init__(self):
+        self.stack: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+        self.walls: list[int] = []
+
+    def top(self) -> Element | None:
+        return self.stack[-1] if self.stack else None
+
+    def push(self, name: str, hints: tuple[str, ...]) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name not in INLINE and name not in SELF_CLOSING:
+            self.walls.append(len(self.stack))
+        self.stack.append(Element(name, hints, self.top()))
+
+    def close(self, name: str, over_walls: bool) -> None:
+        """Closes the innermost element of that name and all in it, if there is one."""
+        own = self.places.get(name)
+        if not own or not over_walls and self.walls and self.walls[-1] > own[-1]:
+            return
+        for k in range(len(self.stack) - 1, own[-1] - 1, -1):
+            self.places[self.stack.pop().name].pop()
+            if self.walls and self.walls[-1] == k:
+                self.walls.pop()
+
+
+def blocks(source: str | None, titles: bool = False) -> list[Block]:
+    """Blocks in page order, in time in proportion to the page; never fails.
+
+    Comments, scripts, styles, text areas, inline frames, and without `titles` titles are left out. One of those that is
+    never closed goes to the end of the page; all other elements that are not closed, or closed but not open, are
+    taken as they come.
+    """
     if not source:
         return []
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    open_ = _Open()
     parts: list[str] = []
     linked, in_link, at, size = 0, 0, 0, len(source)
 
@@ -48,7 +92,7 @@ def blocks(source: str | None) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, tuple(stack), linked))
+            out.append(Block(text, open_.top(), linked))
         parts.clear()
         linked = 0
 
@@ -69,35 +113,29 @@ def blocks(source: str | None) -> list[Block]:
                 parts.append(" " if name == "br" else "")
             continue
         if name in _END:
+            flush()
             if not closing and not token.endswith("/>"):
                 end = _END[name].search(source, at)
+                if titles and name == "title":
+                    parts.append(source[at : end.start() if end else size])
+                    flush()
                 at = end.end() if end else size
-            if name not in INLINE:
-                flush()
             continue
         if name == "a":
             in_link = 0 if closing else 1
         if name not in INLINE:
             flush()
-        if not closing:
-            if name in SELF_CLOSING:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        break
-                    if stack[k][0] not in INLINE and stack[k][0] not in SELF_CLOSING:
-                        break
-            if not token.endswith("/>"):
-                stack.append((name, _hints(token)))
-        else:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+        if closing:
+            open_.close(name, True)
+            continue
+        if name in SELF_CLOSING:
+            open_.close(name, False)
+        if not token.endswith("/>"):
+            open_.push(name, _hints(token))
     flush()
     return out
 
 
 def plain_text(source: str | None) -> str:
-    """All text of a page, one block a line."""
-    return "\n".join(b.text for b in blocks(source))
+    """All text of a page, its title first of all where it stands, one block a line."""
+    return "\n".join(b.text for b in blocks(source, titles=True))

@@ -45,17 +45,30 @@ def serialise(headers: dict[str, str], block: bytes, compress: bool = True) -> b
     return gzip.compress(data, mtime=0) if compress else data
 
 
-def _plain(data: bytes) -> bytes:
-    """Data of all gzip members; data that is not compressed as it is; a broken member ends it."""
-    out = []
-    while data[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(31)
+_GZIP = b"\x1f\x8b\x08"
+PIECE = 1 << 16  # bytes of a file that are read at once
+
+
+def _stream(data: bytes) -> Iterator[bytes | None]:
+    """Pieces of all gzip members in turn, or of data that is not compressed; None where a member is broken or cut off,
+    after which the next member goes on."""
+    view, at = memoryview(data), 0 if data[:3] == _GZIP else -1
+    if at < 0:
+        yield from (bytes(view[s : s + PIECE]) for s in range(0, len(data), PIECE))
+    while at >= 0:
+        member, end = zlib.decompressobj(31), at
         try:
-            out.append(member.decompress(data))
+            while not member.eof and end < len(data):
+                piece = member.decompress(view[end : end + PIECE])
+                end += len(view[end : end + PIECE])
+                if piece:
+                    yield piece
+            if not member.eof:
+                yield None
+            at = data.find(_GZIP, end - len(member.unused_data))
         except zlib.error:
-            return b"".join(out)
-        data = member.unused_data
-    return b"".join(out) if out else data
+            yield None
+            at = data.find(_GZIP, at + 1)
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -76,19 +89,31 @@ def _get(fields: dict[str, str], name: str) -> str | None:
 
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record; what is cut off at the end is left out."""
-    data, at = _plain(data), 0
-    while (start := data.find(b"WARC/", at)) >= 0:
-        head = data.find(b"\r\n\r\n", start)
-        if head < 0:
-            return
-        fields = _fields(data[start:head].split(b"\r\n", 1)[-1])
-        length = _get(fields, "Content-Length") or "0"
-        size = int(length) if length.isdigit() else 0
-        if head + 4 + size > len(data):
-            return
-        yield fields, data[head + 4 : head + 4 + size]
-        at = head + 4 + size
+    """Headers and block of each record, one member and one record at a time. What is cut off, and records in a broken
+    gzip member, are left out; later members go on."""
+    held, wanted = bytearray(), 0
+    for piece in _stream(data):
+        if piece is None:
+            held, wanted = bytearray(), 0
+            continue
+        held += piece
+        while len(held) >= wanted:
+            start = held.find(b"WARC/")
+            head = held.find(b"\r\n\r\n", start) if start >= 0 else -1
+            if head < 0:
+                if start < 0:
+                    del held[:-4]
+                wanted = len(held) + 1
+                break
+            fields = _fields(bytes(held[start:head]).split(b"\r\n", 1)[-1])
+            length = _get(fields, "Content-Length") or "0"
+            end = head + 4 + (int(length) if length.isdigit() else 0)
+            if end > len(held):
+                wanted = end
+                break
+            yield fields, bytes(held[head + 4 : end])
+            del held[:end]
+            wanted = 0
 
 
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -101,7 +126,11 @@ def _row(fields: dict[str, str], block: bytes | None) -> tuple:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC files, compressed or not, one task a file."""
+    """Records of WARC files, compressed or not, one task a file, which holds the file's bytes and one record at a time.
+
+    Headers that a record lacks are null; records cut off or in a broken gzip member are left out and later members go on;
+    files that hold no records, and empty files, give no rows; repeated records each give a row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,13 +265,16 @@ def derive(source: DataFrame) -> DataFrame:
 
 
 def serialised(derived: DataFrame, compress: bool = True) -> DataFrame:
-    """The bytes of each derived record, ready to be concatenated into WARC files."""
+    """The bytes of each derived record, ready to be concatenated into WARC files; its source's headers and digests too, as
+    header fields. Null values give no field, a null block is empty; rows that repeat give equal records; other columns
+    are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                fields = {"WARC-Type": r["warc_type"], "WARC-Record-ID": r["record_id"], "WARC-Refers-To": r["refers_to"], "WARC-Refers-To-Date": r["refers_to_date"], "WARC-Target-URI": r["target_uri"], "WARC-Refers-To-Target-URI": r["target_uri"], "WARC-Date": r["warc_date"], "Content-Type": r["content_type"], "WARC-Block-Digest": r["block_digest"], "WARC-Source-Payload-Digest": r["source_payload_digest"]}
+                fields = {"WARC-Type": r["warc_type"], "WARC-Record-ID": r["record_id"], "WARC-Refers-To": r["refers_to"], "WARC-Refers-To-Date": r["refers_to_date"], "WARC-Target-URI": r["target_uri"], "WARC-Refers-To-Target-URI": r["target_uri"], "WARC-Date": r["warc_date"], "Content-Type": r["content_type"], "WARC-Block-Digest": r["block_digest"], "WARC-Source-Payload-Digest": r["source_payload_digest"], "WARC-Source-Block-Digest": r["source_block_digest"], "WARC-Source-Headers": r["source_headers"]}
                 out.append(serialise({k: v for k, v in fields.items() if v is not None}, (r["block"] or "").encode("utf-8", "replace"), compress))
             yield pa.record_batch([pa.array(out, pa.binary())], ["record"])
 

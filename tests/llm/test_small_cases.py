@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -488,6 +489,19 @@ def test_blocks():
     for broken in ("", None, "<", "a < b", "<p", "<!--", "<script>x", '<a href="x', "<p title='a>b'>c</p>", "&amp", "</p></div>"):
         markup.blocks(broken)
     assert [b.text for b in markup.blocks("<p title='a>b'>c</p>a < b")] == ["c", "a < b"]
+    assert [b.text for b in markup.blocks("<p>a<noscript>b<p>c<select><option>d<svg>e")] == ["a", "b", "c", "d", "e"]  # never closed
+    assert markup.plain_text("<title>T &amp; U</title><p>x") == "T & U\nx" and [b.text for b in markup.blocks("<title>T</title><p>x")] == ["x"]
+
+
+def test_long_broken_pages_take_time_in_proportion():
+    n = 20000
+    pages = ["</b>" * n + "<b>" * n + "</i>" * n, "<div>" * 8000 + "<p>x" * 8000, ("<p><li>" + "<b>" * 50) * 2000, "<p><li><div>" + "<b>" * n + "<p><li>" * n, "<svg>x" * n, "<a href=\"" * n]
+    cache, start = {}, time.process_time()
+    for page in pages:
+        found = markup.blocks(page)
+        if found:
+            assert extraction.page_features(found, cache).shape == (len(found), extraction.FEATURES)
+    assert time.process_time() - start < 20 and len(markup.blocks(pages[1])) == 8000
 
 
 def test_extraction_of_labelled_pages(spark):
@@ -558,7 +572,7 @@ def test_warc_round_trip(spark, tmp_path):
     ids = {r["record_id"] for r in source.collect()}
     assert {r["refers_to"] for r in derived} == ids
     text = next(r for r in derived if r["warc_type"] == "conversion" and r["block"])
-    assert text["block"] == markup.plain_text(PAGE) and text["source_payload_digest"] == warc.digest(PAGE.encode()) and text["block_digest"] == warc.digest(text["block"].encode())
+    assert text["block"] == "T\n" + "\n".join(b.text for b in markup.blocks(PAGE)) and text["source_payload_digest"] == warc.digest(PAGE.encode()) and text["block_digest"] == warc.digest(text["block"].encode())
     for name, compress in (("a.warc.gz", True), ("b.warc", False)):
         data = b"".join(bytes(r[0]) for r in warc.serialised(warc.derive(source), compress).collect())
         (tmp_path / name).write_bytes(data)
@@ -566,4 +580,15 @@ def test_warc_round_trip(spark, tmp_path):
         assert sorted((r["warc_type"], bytes(r["block"]).decode()) for r in back) == sorted((r["warc_type"], r["block"]) for r in derived)
     assert warc.derive(warc.read_warc(spark, str(tmp_path / "b.warc"))).count() == 0  # no responses there
     assert warc.derive(source.limit(0)).count() == 0
+    one = [warc.serialise({"WARC-Type": "resource", "WARC-Record-ID": f"<{k}>"}, b"x" * (200_000 * k)) for k in range(3)]
+    broken = bytearray(one[1])
+    broken[40] ^= 255
+    told = lambda data: [(f["WARC-Record-ID"], len(b)) for f, b in warc.records(data)]
+    assert told(b"".join(one)) == [("<0>", 0), ("<1>", 200_000), ("<2>", 400_000)]
+    assert told(one[0] + bytes(broken) + one[2]) == told(one[0] + one[1][:60] + one[2]) == [("<0>", 0), ("<2>", 400_000)]
+    assert told(gzip.compress(b"".join(map(gzip.decompress, one)))) == told(b"".join(map(gzip.decompress, one))) == told(b"".join(one))
+    clash = warc.responses(pages.withColumns({"headers": F.lit(1), "block": F.lit(2)}).withColumn("html", F.repeat("html", 500)))
+    assert warc.derive(clash.withColumn("refers_to", F.lit(0))).where("length(block) > 50000").count() == 2
+    written = warc.serialised(warc.derive(source), False).collect()
+    assert all(b"WARC-Source-Block-Digest: " in bytes(r[0]) and b"WARC-Source-Headers: {" in bytes(r[0]) for r in written)
     assert list(warc.records(b"junk")) == [] and list(warc.records(b"WARC/1.0\r\nContent-Length: 99\r\n\r\nshort")) == []
