@@ -394,9 +394,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     chunks = chunk_table(docs, doc_id, text)
     expected = max(1, (chunks.agg(F.sum(F.length("blob"))).first()[0] or 0) // 3)  # words
-    parts, bits = -(-expected // PART_SHINGLES), min(60, max(36, expected.bit_length() + 13))
+    parts, bits = int(-(-expected // PART_SHINGLES)), min(60, max(36, expected.bit_length() + 13))
     sent = map_batches(chunks, _sender(parts, bits), "group int, chunk long, shingles binary, counts binary")
-    rarity = sent.groupBy("group").applyInPandas(lean_group(_rarity), "chunk long, group int, answer binary")
+    dealt = sent.repartitionById(parts, F.col("group"))  # one group a task: hashed groups would meet
+    rarity = dealt.groupBy("group").applyInPandas(lean_group(_rarity), "chunk long, group int, answer binary")
     nodes = saved(map_batches(answered(chunks, rarity), _describer(parts, bits), NODES), "shingle-nodes")
 
     known = nodes.where("doc_id is not null and n > 0")

@@ -286,7 +286,8 @@ def _grown(chunks: DataFrame, window: int) -> tuple[Prefixes, int, DataFrame]:
     """The groups of a corpus, and its chunks with the answers of all subtrees."""
     prefixes, bins = plan_groups(chunks, window)
     sent = map_batches(chunks, _sender(window, prefixes, bins), "group int, chunk long, low long, leaves binary, owners binary")
-    return prefixes, bins, answered(chunks, sent.groupBy("group").applyInPandas(lean_group(_subtree), "chunk long, group int, answer binary"))
+    dealt = sent.repartitionById(bins, F.col("group"))  # one bin a task: hashed bins would meet
+    return prefixes, bins, answered(chunks, dealt.groupBy("group").applyInPandas(lean_group(_subtree), "chunk long, group int, answer binary"))
 
 
 def maximal_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
