@@ -286,6 +286,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _tasks(df: DataFrame) -> int:
+    """As many tasks as shuffles have: rows that are few bytes but much work are not put together."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _links(possible: DataFrame, joined: DataFrame, probe: bool) -> DataFrame:
     """The components (a, b) that verified links join and joined(node, component) does not: by all links, or as a probe by some."""
     labels = possible.select("node").join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("label"))
@@ -295,7 +300,7 @@ def _links(possible: DataFrame, joined: DataFrame, probe: bool) -> DataFrame:
     entries = entries.join(mixed.select("shingle", slots.alias("slots")), "shingle").withColumn("slot", F.pmod(F.xxhash64("node"), F.col("slots")).cast("int"))
     halves = F.explode(F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda o: F.struct(F.least(o, "slot").alias("left"), F.greatest(o, "slot").alias("right"))))
     blocks = entries.withColumn("h", halves).select("shingle", "node", "label", "slot", "h.left", "h.right").join(possible.select("node", "counts"), "node")
-    blocks = blocks.repartition("shingle", "left", "right").sortWithinPartitions("shingle", "left", "right")
+    blocks = blocks.repartition(_tasks(blocks), "shingle", "left", "right").sortWithinPartitions("shingle", "left", "right")
     pairs = saved(blocks.mapInPandas(lean(_possible_pairs(probe)), "a long, b long, x long, y long").distinct(), "possible-pairs")
     body = possible.select("node", "body")
     wanted = pairs.join(body.toDF("a", "body_a"), "a").join(body.toDF("b", "body_b"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"), "body_a", "body_b")
@@ -373,7 +378,7 @@ def _links_of_classes(possible: DataFrame, joined: DataFrame) -> DataFrame:
     entries = entries.join(slots, "component").withColumn("slot", F.pmod(F.xxhash64("s1"), F.col("slots")).cast("int"))
     halves = F.explode(F.transform(F.sequence(F.lit(0), F.col("slots") - 1), lambda o: F.struct(F.least(o, "slot").alias("left"), F.greatest(o, "slot").alias("right"))))
     tiles = entries.withColumn("h", halves).select("component", "h.left", "h.right", "slot", "s1", "s2", "n", "rows", "body")
-    tiles = tiles.repartition("component", "left", "right").sortWithinPartitions("component", "left", "right")
+    tiles = tiles.repartition(_tasks(tiles), "component", "left", "right").sortWithinPartitions("component", "left", "right")
     return tiles.mapInPandas(lean(_count_links), "s1 long, s2 long, n long, n_links long").groupBy("s1", "s2", "n").agg(F.sum("n_links").alias("n_links"))
 
 
