@@ -1,4 +1,4 @@
-"""skyshuffle: a PySpark-native engine for magnitude-levelled star octrees.
+"""skyshuffle: a PySpark-native engine for magnitude-levelled star trees.
 
 The sub-packages are imported explicitly; importing the package itself has no side effects.
 """

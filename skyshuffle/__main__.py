@@ -34,12 +34,12 @@ def _parser() -> argparse.ArgumentParser:
         if name == "stage-03":
             p.add_argument("--family")
     p = sub.add_parser("stats", help="what a bounded query touches")
-    p.add_argument("octree")
+    p.add_argument("tree")
     p.add_argument("--point", "--center", "--centre", type=_point, default=(0.0, 0.0, 0.0))
     p.add_argument("--magnitude", type=float, default=6.5)
     p.add_argument("--radius", type=float, default=10.0)
     p.add_argument("--nearest", "--stars", "-n", type=int, default=10)
-    p.add_argument("--meta-octree")
+    p.add_argument("--meta-tree")
     return top
 
 
@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("skyshuffle").getOrCreate()
     try:
         if args.command == "stats":
-            out = stages.statistics(spark, args.octree, args.point, args.magnitude, args.radius, args.nearest, args.meta_octree)
+            out = stages.statistics(spark, args.tree, args.point, args.magnitude, args.radius, args.nearest, args.meta_tree)
             q = [F.col(c) for c in ("mag_min", "mag_p25", "mag_p50", "mag_p75", "mag_max")]
             out["levels"].select("level", "nodes", "stars_loaded", "stars_rendered", text.kilobytes(F.col("payload_bytes")).alias("payload"), text.quartiles(*q).alias("magnitudes")).show(100, False)
             out["ranges"].show(1, False)

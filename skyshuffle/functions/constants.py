@@ -1,4 +1,4 @@
-"""Constants that define the octree's semantics."""
+"""Constants that define the tree's semantics."""
 
 # Fixed values of the format.
 WORLD_CENTER = (0.0, 0.0, 0.0)

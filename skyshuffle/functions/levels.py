@@ -1,4 +1,4 @@
-"""Magnitude levels: which octree level a star of an absolute magnitude belongs to."""
+"""Magnitude levels: which tree level a star of an absolute magnitude belongs to."""
 
 from __future__ import annotations
 

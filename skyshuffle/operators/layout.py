@@ -31,7 +31,7 @@ def child_masks(nodes: DataFrame) -> DataFrame:
 
 
 def payload_offsets(cells: DataFrame, length: str = "payload_len", start: int = FILE_HEAD_BYTES) -> DataFrame:
-    """Absolute offset of every payload in the octree file, in preorder."""
+    """Absolute offset of every payload in the tree file, in preorder."""
     return running_sum(preorder(cells), "dfs_key", ["level"], F.col(length), "__before").withColumn("output_offset", F.col("__before") + F.lit(start)).drop("__before")
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.constants import IDENTIFIER_FIELDS, INTEGER_FIELDS
 from .cells import KEY
 
-#: An identifier map of at most so many rows is broadcast; a larger one is joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+#: An identifier map of at most so many rows, of strings of so many bytes in all, is broadcast; a larger one is joined by
+#: shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
 
 
 def last_wins(identifiers: DataFrame) -> DataFrame:
@@ -25,7 +26,9 @@ def last_wins(identifiers: DataFrame) -> DataFrame:
 def join_identifiers(rows: DataFrame, identifiers: DataFrame) -> DataFrame:
     """rows(source, source_id, ...) with their identifiers; a star without any keeps its row."""
     one = last_wins(identifiers)
-    small = len(one.select(F.lit(1)).take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in identifiers.schema.fields if f.dataType.simpleString() == "string"]
+    size = identifiers.limit(BROADCAST_ROWS + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0)).alias("bytes")).first()  # the map is no smaller than its last rows
+    small = size["n"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
     return rows.join(F.broadcast(one) if small else one, ["source", "source_id"], "left")
 
 

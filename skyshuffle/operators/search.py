@@ -10,6 +10,7 @@ from ..functions.constants import COALESCE_GAP_BYTES, DEFAULT_MAG_VIS, WORLD_HAL
 from ..functions.levels import Levels
 from ..functions.morton import dfs_key, morton_code, node_id
 from ..plans.prefix import previous_max, running_sum
+from ..plans.prune import near_cells
 from .cells import KEY, with_ordinal
 
 Point = tuple[float, float, float]
@@ -40,43 +41,58 @@ def in_shell(point: Point, magnitude: float, levels: Levels, exact: bool = False
     return near | (F.col("level") == 0) if exact else near
 
 
+def shell_rows(rows: DataFrame, point: Point, magnitude: float, levels: Levels, exact: bool = False, scan: bool = False) -> DataFrame:
+    """The rows whose cells in_shell() keeps. With scan, rows are read from a table in Morton order, and ranges of codes that
+    reach the scan prune them first."""
+    reach = 10.0 ** ((magnitude - levels.v_mag) / 5.0)
+    if scan and not exact:
+        rows = near_cells(rows, point, lambda k: levels.half_size / 2**k * reach, levels.last, levels.half_size)
+    return rows.where(in_shell(point, magnitude, levels, exact))
+
+
+def radius_rows(rows: DataFrame, point: Point, radius: float, levels: Levels, scan: bool = False) -> DataFrame:
+    """The rows whose cells touch the sphere, pruned like those of shell_rows()."""
+    rows = near_cells(rows, point, lambda _: radius, levels.last, levels.half_size) if scan else rows
+    return rows.where(box(point, levels.half_size) <= radius)
+
+
 def from_point(rows: DataFrame, point: Point) -> DataFrame:
     pc = R.distance(*(F.col(a) - F.lit(p) for a, p in zip(R.AXES, point, strict=True)))
     return rows.withColumn("distance_pc", pc).withColumn("apparent_magnitude", R.apparent_magnitude(F.col("magnitude"), F.col("distance_pc")))
 
 
-def stars_brighter_than(rows: DataFrame, point: Point, magnitude: float = DEFAULT_MAG_VIS, levels: Levels | None = None, exact: bool = False) -> DataFrame:
+def stars_brighter_than(rows: DataFrame, point: Point, magnitude: float = DEFAULT_MAG_VIS, levels: Levels | None = None, exact: bool = False, scan: bool = False) -> DataFrame:
     """Decoded stars that are visible from a point. rows are cell rows with render fields. Filters only: no shuffle."""
     levels = levels or Levels()
-    return from_point(decode(rows.where(in_shell(point, magnitude, levels, exact)), levels.half_size), point).where(F.col("apparent_magnitude") <= magnitude)
+    return from_point(decode(shell_rows(rows, point, magnitude, levels, exact, scan), levels.half_size), point).where(F.col("apparent_magnitude") <= magnitude)
 
 
-def stars_within_distance(rows: DataFrame, point: Point, radius: float, levels: Levels | None = None) -> DataFrame:
+def stars_within_distance(rows: DataFrame, point: Point, radius: float, levels: Levels | None = None, scan: bool = False) -> DataFrame:
     if radius < 0:
         raise ValueError("radius must be >= 0")
     levels = levels or Levels()
-    return from_point(decode(rows.where(box(point, levels.half_size) <= radius), levels.half_size), point).where(F.col("distance_pc") <= radius)
+    return from_point(decode(radius_rows(rows, point, radius, levels, scan), levels.half_size), point).where(F.col("distance_pc") <= radius)
 
 
-def nearest(rows: DataFrame, point: Point, radius: float, n: int, levels: Levels | None = None) -> DataFrame:
+def nearest(rows: DataFrame, point: Point, radius: float, n: int, levels: Levels | None = None, scan: bool = False) -> DataFrame:
     """The n nearest stars within radius. star_id counts all stars of the touched cells in preorder; ties go by it."""
     levels = levels or Levels()
     if radius < 0:
         raise ValueError("radius must be >= 0")
-    touched = with_ordinal(rows.where(box(point, levels.half_size) <= radius)).withColumn("dfs_key", dfs_key(F.col("node_id"), F.col("level")))
+    touched = with_ordinal(radius_rows(rows, point, radius, levels, scan)).withColumn("dfs_key", dfs_key(F.col("node_id"), F.col("level")))
     counted = running_sum(touched, "dfs_key", ["level", "ordinal"], F.lit(1), "star_id")
     found = from_point(decode(counted, levels.half_size), point).where(F.col("distance_pc") <= radius)
     return found.orderBy("distance_pc", "star_id").limit(max(0, n))
 
 
-def shell_levels(nodes: DataFrame, rows: DataFrame, point: Point, magnitude: float, levels: Levels | None = None, length: str = "payload_len", cells: DataFrame | None = None) -> DataFrame:
+def shell_levels(nodes: DataFrame, rows: DataFrame, point: Point, magnitude: float, levels: Levels | None = None, length: str = "payload_len", cells: DataFrame | None = None, scan: bool = False) -> DataFrame:
     """Per level, and in total as level -1: touched nodes, stars loaded and rendered, payload bytes, magnitudes of all loaded stars.
 
     cells has the payload length of each cell; quantiles interpolate linearly and are nan where nothing is loaded.
     """
     levels = levels or Levels()
     touched = nodes.where(in_shell(point, magnitude, levels)).groupBy("level").agg(F.count("*").alias("nodes"))
-    loaded = from_point(decode(rows.where(in_shell(point, magnitude, levels)), levels.half_size), point)
+    loaded = from_point(decode(shell_rows(rows, point, magnitude, levels, scan=scan), levels.half_size), point)
     stars = loaded.rollup("level").agg(
         F.count("*").alias("stars_loaded"), F.count(F.when(F.col("apparent_magnitude") <= magnitude, 1)).alias("stars_rendered"),
         F.percentile("magnitude", F.array(*(F.lit(q / 4) for q in range(5)))).alias("q"),

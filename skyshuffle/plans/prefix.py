@@ -1,4 +1,4 @@
-"""Running sums and neighbours along the octree's preorder without a global window.
+"""Running sums and neighbours along the tree's preorder without a global window.
 
 A window without partitions sends all rows to one task. Preorder keys are 63-bit numbers, so rows are grouped by their
 upper 42 bits and these groups by their upper 21: sums of whole groups are added up first, and only rows of one group

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import MORTON_BITS, WORLD_HALF_SIZE_PC
@@ -52,6 +54,22 @@ def around(point: tuple[float, float, float], radius: float, level: int, half_si
     return None
 
 
+def near_cells(rows: DataFrame, point: tuple[float, float, float], radius: Callable[[int], float], last: int, half_size: float = WORLD_HALF_SIZE_PC, most: int = 27) -> DataFrame:
+    """rows but those whose cells are surely farther from the point than their level's radius.
+
+    The test is of level and ranges of Morton codes alone, so it reaches the scan of a catalogue in Morton order; rows
+    without a code are all kept. It keeps some cells that are too far: the exact test follows. Only for rows that are read
+    from a table: a computed code would be computed again for each range.
+    """
+    if "morton_code" not in rows.columns:
+        return rows
+    keep = F.lit(False)
+    for level in range(last + 1):
+        ranges = around(point, radius(level) * (1 + 1e-9) + 1e-6, level, half_size, most)
+        keep = keep | ((F.col("level") == level) & within(ranges) if ranges is not None else F.col("level") == level)
+    return rows.where(keep)
+
+
 def within(ranges: list[tuple[int, int]], morton: str = "morton_code") -> Column:
     out = F.lit(False)
     for low, high in ranges:

@@ -12,7 +12,7 @@ from .functions.levels import Levels
 # The file's tables, their keys with types, and the template's values.
 PATHS = {
     "merged_healpix_dir": "data/merged", "identifiers_map_path": "data/identifiers_map.parquet", "stage00_output_dir": "build/stage00",
-    "stage01_output_dir": "build/stage01", "stage02_output_path": "build/stars.octree", "identifiers_order_output_path": "build/identifiers.order",
+    "stage01_output_dir": "build/stage01", "stage02_output_path": "build/stars.tree", "identifiers_order_output_path": "build/identifiers.order",
     "stage03_output_dir": "build/sidecars",
 }
 SETTINGS: dict[str, dict[str, tuple[type, object]]] = {

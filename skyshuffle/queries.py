@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import math
+import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +19,9 @@ from .functions.levels import Levels
 from .operators import cells as C
 from .operators import enrich as E
 from .operators import glow, layout, meta, search
-from .plans.prune import around, has_prefix, within
-from .sources import catalog
-from .sources.store import stored
+from .plans.prune import has_prefix
+from .sources import artifacts, catalog
+from .sources.store import shared_folder, stored
 
 LEVELS = Levels()
 POINT, MAGNITUDE = (300.0, 170.0, -110.0), 6.5
@@ -440,7 +443,7 @@ seen AS (SELECT *, {_APPARENT} AS apparent_magnitude FROM loaded)"""
 
 @query(f"WITH {_SHELL} SELECT source_id, level, node_id, x, y, z, magnitude, round(distance_pc, 6) AS distance_pc, round(apparent_magnitude, 6) AS apparent_magnitude FROM seen WHERE apparent_magnitude <= {MAGNITUDE}")
 def shell_query(spark, sf_dir):
-    df = search.stars_brighter_than(rows(spark, sf_dir), POINT, MAGNITUDE, LEVELS)
+    df = search.stars_brighter_than(rows(spark, sf_dir), POINT, MAGNITUDE, LEVELS, scan=True)
     return rounded(df.select("source_id", "level", "node_id", "x", "y", "z", "magnitude", "distance_pc", "apparent_magnitude"), "distance_pc", "apparent_magnitude")
 
 
@@ -449,10 +452,7 @@ _NEAR = f"{DECODED}, near AS (SELECT *, {_pc(ORIGIN)} AS distance_pc FROM decode
 
 @query(f"WITH {_NEAR} SELECT source_id, level, magnitude, round(distance_pc, 6) AS distance_pc, round(apparent_magnitude, 6) AS apparent_magnitude FROM inside")
 def radius_query(spark, sf_dir):
-    df = rows(spark, sf_dir)
-    ranges = around(ORIGIN, RADIUS, 6)
-    df = df if ranges is None else df.where(within(ranges) | (F.col("level") < 6))
-    df = search.stars_within_distance(df, ORIGIN, RADIUS, LEVELS)
+    df = search.stars_within_distance(rows(spark, sf_dir), ORIGIN, RADIUS, LEVELS, scan=True)
     return rounded(df.select("source_id", "level", "magnitude", "distance_pc", "apparent_magnitude"), "distance_pc", "apparent_magnitude")
 
 
@@ -464,17 +464,17 @@ top AS (SELECT *, {_APPARENT} AS apparent_magnitude FROM touched WHERE distance_
 
 @query(f"WITH {_NEAREST} SELECT star_id, source_id, round(distance_pc, 6) AS distance_pc, magnitude, round(apparent_magnitude, 6) AS apparent_magnitude, CASE WHEN teff8 = 255 THEN NULL ELSE round(teff, 6) END AS teff FROM top")
 def nearest(spark, sf_dir):
-    df = search.nearest(rows(spark, sf_dir), ORIGIN, RADIUS, TOP, LEVELS)
+    df = search.nearest(rows(spark, sf_dir), ORIGIN, RADIUS, TOP, LEVELS, scan=True)
     teff = F.when(~F.isnan("teff"), F.round("teff", 6)).alias("teff")
     return rounded(df.select("star_id", "source_id", "distance_pc", "magnitude", "apparent_magnitude", teff), "distance_pc", "apparent_magnitude")
 
 
 @query(f"WITH {_NEAREST}, {IDS} SELECT star_id, t.source, t.source_id, hip_id, hd, constellation, proper_name FROM top t LEFT JOIN ids USING (source, source_id)")
 def nearest_meta(spark, sf_dir):
-    found = search.nearest(rows(spark, sf_dir), ORIGIN, RADIUS, TOP, LEVELS).drop("source", "source_id")
-    sidecar = meta.cell_meta(C.identities(C.aggregate_cells(rows(spark, sf_dir))), identifiers(spark, sf_dir))
-    wanted = sidecar.join(F.broadcast(found.select("level", "node_id").distinct()), ["level", "node_id"], "left_semi")  # at most TOP cells
-    return search.nearest_with_meta(found, meta.parse_meta(wanted)).select("star_id", "source", "source_id", "hip_id", "hd", "constellation", "proper_name")
+    found = stored(spark, f"nearest {sf_dir}", lambda: search.nearest(rows(spark, sf_dir), ORIGIN, RADIUS, TOP, LEVELS, scan=True).drop("source", "source_id"))
+    cell = F.broadcast(found.select("level", "node_id").distinct())  # at most TOP cells: their stars alone are gathered
+    sidecar = meta.cell_meta(C.identities(C.aggregate_cells(rows(spark, sf_dir).join(cell, ["level", "node_id"], "left_semi"))), identifiers(spark, sf_dir))
+    return search.nearest_with_meta(found, meta.parse_meta(sidecar)).select("star_id", "source", "source_id", "hip_id", "hd", "constellation", "proper_name")
 
 
 @query(f"WITH {CELLS}, {NODES}, p(i, x, y, z, at_level) AS (VALUES (1, 0.0, 0.0, 0.0, 3), (2, 300.0, 170.0, -110.0, 5), (3, -5000.0, 2500.0, 1.0, 4), (4, 999999.0, 0.0, 0.0, 1), (5, 123.0, -4567.0, 8901.0, 2)), q AS (SELECT i, at_level, {', '.join(f'greatest(0, least(2097151, CAST(floor(({a}::DOUBLE + 200000.0::DOUBLE) * (2097152 / 400000.0::DOUBLE)) AS BIGINT))) AS i{a}' for a in 'xyz')} FROM p WHERE abs(x) <= 200000), k AS (SELECT i, at_level AS level, ({_spread('ix')} + 2 * {_spread('iy')} + 4 * {_spread('iz')}) >> (3 * (21 - at_level)) AS node_id FROM q) SELECT i, level, node_id FROM k JOIN nodes USING (level, node_id)")
@@ -494,7 +494,7 @@ _MAGS = ("mag_min", "mag_p25", "mag_p50", "mag_p75", "mag_max")
 
 def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = cells(spark, sf_dir)
-    return search.shell_levels(layout.node_set(df), rows(spark, sf_dir), POINT, MAGNITUDE, LEVELS, cells=df)
+    return search.shell_levels(layout.node_set(df), rows(spark, sf_dir), POINT, MAGNITUDE, LEVELS, cells=df, scan=True)
 
 
 @query(f"WITH {_STATS} SELECT level, nodes, stars_loaded, stars_rendered, payload_bytes FROM stats WHERE level >= 0")
@@ -556,3 +556,80 @@ def glow_means(spark, sf_dir):
     df = glow.glow_means(glow.glow_rollup(glow.glow_leaves(rows(spark, sf_dir))))
     return rounded(rounded(df, "mean_r", "mean_g", "mean_b", "mean_mass"), "mean_teff", places=4)
 
+
+
+# --- binary artifacts: written from the catalogue, read back from their bytes -------------------------------------
+
+_BUILT: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def built(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Paths of the tree file, the intermediates' manifest, the identities file and the meta sidecar of the catalogue."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        folder = Path(shared_folder(spark).removeprefix("file://")) / f"artifacts-{uuid.uuid4().hex}"
+        whole = stored(spark, f"aggregated {sf_dir}", lambda: C.aggregate_cells(rows(spark, sf_dir)))
+        render, names = (stored(spark, f"{kind} payloads {sf_dir}", lambda k=kind: artifacts.encode_payloads(whole, k)) for kind in ("render", "identifiers"))
+        header = artifacts.write_tree(render, str(folder / "stars"), LEVELS, uuid.uuid4())
+        artifacts.write_identities(names, str(folder / "identities"), header.dataset_uuid, DEEP_FROM, PREFIX_BITS)
+        said = artifacts.encode_payloads(meta.cell_meta(artifacts.read_identities(spark, str(folder / "identities")), identifiers(spark, sf_dir)), "sidecar")
+        artifacts.write_tree(said, str(folder / "meta"), LEVELS, parent_uuid=header.dataset_uuid, sidecar_kind="meta")
+        _BUILT[key] = {
+            "tree": str(folder / "stars"), "identities": str(folder / "identities"), "meta": str(folder / "meta"),
+            "manifest": artifacts.write_intermediates(render, str(folder / "shards"), "render", LEVELS, DEEP_FROM, PREFIX_BITS),
+        }
+    return _BUILT[key]
+
+
+@query(f"SELECT 'render' AS artifact_kind, 13 AS max_level, 16 AS record_size, 200000.0::DOUBLE AS half_size, 6.5::DOUBLE AS mag_limit, true AS index_at_end")
+def tree_header(spark, sf_dir):
+    path = built(spark, sf_dir)["tree"]
+    h = artifacts.read_header(path)
+    whole = h.index_offset + h.index_length == Path(path).stat().st_size
+    said = {"artifact_kind": h.artifact_kind, "max_level": h.max_level, "record_size": h.record_size, "half_size": h.world_half_size, "mag_limit": h.mag_limit, "index_at_end": whole}
+    return spark.range(1).select(*(F.lit(v).alias(k) for k, v in said.items()))
+
+
+@query(f"WITH {SHARDED} SELECT level, node_id, child_mask, flags, has_payload FROM shard_nodes")
+def tree_nodes(spark, sf_dir):
+    nodes = artifacts.read_nodes(spark, built(spark, sf_dir)["tree"])
+    return nodes.select("level", "node_id", "child_mask", "flags", (F.col("payload_length") > 0).alias("has_payload"))
+
+
+@query(f"WITH {DECODED} SELECT level, node_id, row_number() OVER (PARTITION BY level, node_id ORDER BY mag_abs, source_id, source) - 1 AS ordinal, x, y, z, magnitude, teff8 FROM decoded")
+def tree_stars(spark, sf_dir):
+    stars_ = search.decode(artifacts.read_stars(spark, built(spark, sf_dir)["tree"]), LEVELS.half_size)
+    return stars_.select("level", "node_id", "ordinal", "x", "y", "z", "magnitude", "teff8")
+
+
+@query(f"WITH {DECODED}, seen AS (SELECT *, {_pc(POINT)} AS distance_pc FROM decoded WHERE {_box(POINT)} <= {_LOAD}) SELECT level, count(*) AS stars_loaded, count(*) FILTER ({_APPARENT} <= {MAGNITUDE}) AS stars_rendered FROM seen GROUP BY level")
+def tree_shell(spark, sf_dir):
+    """Only the payloads of touched nodes are read."""
+    path = built(spark, sf_dir)["tree"]
+    nodes = artifacts.read_nodes(spark, path).where(search.in_shell(POINT, MAGNITUDE, LEVELS))
+    seen = search.from_point(search.decode(artifacts.read_stars(spark, path, nodes), LEVELS.half_size), POINT)
+    return seen.groupBy("level").agg(F.count("*").alias("stars_loaded"), F.count_if(F.col("apparent_magnitude") <= MAGNITUDE).alias("stars_rendered"))
+
+
+@query(f"WITH {_SHARD_SQL} SELECT level, prefix_bits, prefix, count(*) AS record_count FROM split GROUP BY 1, 2, 3")
+def manifest_entries(spark, sf_dir):
+    said = json.loads(Path(built(spark, sf_dir)["manifest"]).read_text())
+    entries = [(lv["level"], s["prefix_bits"], s["prefix"], s["record_count"]) for lv in said["levels"] for s in lv["shards"]]
+    return spark.createDataFrame(entries, "level int, prefix_bits int, prefix long, record_count long")
+
+
+@query(f"WITH {CELLS} SELECT level, node_id, star_count FROM cells")
+def intermediate_records(spark, sf_dir):
+    return artifacts.read_intermediates(spark, built(spark, sf_dir)["manifest"]).where("payload_len = length(payload)").select("level", "node_id", "star_count")
+
+
+@query(f"WITH {ENRICHED} SELECT level, node_id, row_number() OVER (PARTITION BY level, node_id ORDER BY mag_abs, source_id, source) - 1 AS ordinal, source, source_id FROM enriched WHERE mag_abs IS NOT NULL")
+def identity_rows(spark, sf_dir):
+    return artifacts.read_identities(spark, built(spark, sf_dir)["identities"])
+
+
+@query(f"WITH {ENRICHED}, {IDS} SELECT level, node_id, row_number() OVER (PARTITION BY level, node_id ORDER BY mag_abs, e.source_id, e.source) - 1 AS ordinal, e.source, e.source_id, hip_id, hd, constellation, proper_name FROM enriched e LEFT JOIN ids i ON e.source = i.source AND e.source_id = i.source_id WHERE mag_abs IS NOT NULL")
+def sidecar_rows(spark, sf_dir):
+    paths = built(spark, sf_dir)
+    artifacts.check_sidecar(artifacts.read_header(paths["tree"]), artifacts.read_header(paths["meta"]))
+    return meta.parse_meta(artifacts.read_meta(spark, paths["meta"])).select("level", "node_id", "ordinal", "source", "source_id", "hip_id", "hd", "constellation", "proper_name")

@@ -1,4 +1,4 @@
-"""Octree files, sidecars, identities files and intermediate shards: writers and readers.
+"""Tree files, sidecars, identities files and intermediate shards: writers and readers.
 
 The layout comes from relational plans; the driver only streams rows that are already in file order to one file, one
 partition at a time. Readers give DataFrames: executors read index shards and payloads by byte range.
@@ -79,10 +79,10 @@ def _publish(path: Path, write) -> None:
         part.unlink(missing_ok=True)
 
 
-def write_octree(payloads: DataFrame, path: str, levels: Levels | None = None, dataset_uuid: uuid.UUID | None = None, parent_uuid: uuid.UUID | None = None, sidecar_kind: str | None = None) -> fmt.OctreeHeader:
-    """Writes an octree file, or with sidecar_kind a sidecar of parent_uuid, from encoded payloads."""
+def write_tree(payloads: DataFrame, path: str, levels: Levels | None = None, dataset_uuid: uuid.UUID | None = None, parent_uuid: uuid.UUID | None = None, sidecar_kind: str | None = None) -> fmt.TreeHeader:
+    """Writes a tree file, or with sidecar_kind a sidecar of parent_uuid, from encoded payloads."""
     spark, levels = payloads.sparkSession, levels or Levels()
-    placed = stored(spark, f"octree {uuid.uuid4()}", lambda: layout.payload_offsets(payloads))
+    placed = stored(spark, f"tree {uuid.uuid4()}", lambda: layout.payload_offsets(payloads))
     nodes = stored(spark, f"nodes {uuid.uuid4()}", lambda: layout.shard_nodes(placed.select("level", "node_id")))
     index_offset = FILE_HEAD_BYTES + (placed.agg(F.sum("payload_len")).first()[0] or 0)
     shards = layout.shard_headers(nodes, index_offset)
@@ -98,7 +98,7 @@ def write_octree(payloads: DataFrame, path: str, levels: Levels | None = None, d
     whole = shards.join(tables, list(layout.SHARD)).join(frontier, list(layout.SHARD), "left").join(parent, list(layout.SHARD), "left").join(up, ["up_level", "up_node"], "left").orderBy("shard_id")
     index_length = shards.agg(F.sum("shard_bytes")).first()[0] or 0
     dataset = None if sidecar_kind else dataset_uuid or uuid.uuid4()
-    header = fmt.OctreeHeader(
+    header = fmt.TreeHeader(
         index_offset, index_length, WORLD_CENTER, levels.half_size, levels.last, levels.v_mag, artifact_kind="sidecar" if sidecar_kind else "render",
         dataset_uuid=dataset, parent_dataset_uuid=parent_uuid, sidecar_uuid=uuid.uuid4() if sidecar_kind else None, sidecar_kind=sidecar_kind,
     )
@@ -233,12 +233,12 @@ def read_identities(spark: SparkSession, path: str) -> DataFrame:
     return spark.range(0, blocks, 1, max(1, min(blocks, 256))).mapInArrow(run, "level int, node_id long, ordinal int, source string, source_id string")
 
 
-# --- octree reader -----------------------------------------------------------------------------------------------
+# --- tree reader -----------------------------------------------------------------------------------------------
 
 
-def read_header(path: str) -> fmt.OctreeHeader:
+def read_header(path: str) -> fmt.TreeHeader:
     with Ranges(path) as f:
-        header = fmt.OctreeHeader.unpack(f.read(0, FILE_HEAD_BYTES))
+        header = fmt.TreeHeader.unpack(f.read(0, FILE_HEAD_BYTES))
         if header.index_length and f.read(header.index_offset, 4) != b"OSHR":
             raise ValueError(f"{path} has no index where its header says")
     return header
@@ -277,7 +277,7 @@ def _shard_reader(path: str):
 
 
 def read_nodes(spark: SparkSession, path: str) -> DataFrame:
-    """All nodes of an octree file: level, node_id, child_mask, flags, payload_offset, payload_length.
+    """All nodes of a tree file: level, node_id, child_mask, flags, payload_offset, payload_length.
 
     Shards of one generation are read side by side; their frontier tables name the next generation's.
     """
@@ -316,7 +316,7 @@ def _payload_reader(path: str, record_size: int):
 
 
 def read_stars(spark: SparkSession, path: str, nodes: DataFrame | None = None) -> DataFrame:
-    """Stars of an octree file in packed fields with their ordinals; of the given nodes only, so that a filter on nodes
+    """Stars of a tree file in packed fields with their ordinals; of the given nodes only, so that a filter on nodes
     decides which payloads are read. Payloads that cannot be decoded give a warning and no stars."""
     header = read_header(path)
     if header.record_size != STAR.itemsize:
@@ -339,11 +339,11 @@ def read_meta(spark: SparkSession, path: str, nodes: DataFrame | None = None) ->
     return nodes.where("payload_length > 0").select("level", "node_id", "payload_offset", "payload_length").mapInArrow(run, "level int, node_id long, meta string")
 
 
-def check_sidecar(octree: fmt.OctreeHeader, sidecar: fmt.OctreeHeader) -> None:
-    """Raises unless the sidecar holds meta of exactly this octree."""
+def check_sidecar(tree: fmt.TreeHeader, sidecar: fmt.TreeHeader) -> None:
+    """Raises unless the sidecar holds meta of exactly this tree."""
     same = (("world_center", "world_center"), ("world_half_size", "world_half_size"), ("max_level", "max_level"), ("dataset_uuid", "parent_dataset_uuid"))
-    if sidecar.artifact_kind != "sidecar" or sidecar.sidecar_kind != "meta" or octree.dataset_uuid is None:
+    if sidecar.artifact_kind != "sidecar" or sidecar.sidecar_kind != "meta" or tree.dataset_uuid is None:
         raise ValueError("Not a meta sidecar")
     for a, b in same:
-        if getattr(octree, a) != getattr(sidecar, b):
-            raise ValueError(f"The sidecar's {b} differs from the octree's {a}")
+        if getattr(tree, a) != getattr(sidecar, b):
+            raise ValueError(f"The sidecar's {b} differs from the tree's {a}")

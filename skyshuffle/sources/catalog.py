@@ -34,9 +34,16 @@ def read_pixels(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_enriched(spark: SparkSession, path: str) -> DataFrame:
-    """Enriched stars below a folder, at any depth; a trailing /**/*.parquet is understood."""
-    root = path.split("/**")[0]
-    df = signed(spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root))
+    """Enriched stars below a folder, at any depth, whose file names fit; /**/ in a pattern stands for any folders.
+
+    What follows /**/ is a pattern of file names alone (x*.parquet); a pattern without /**/ is Hadoop's.
+    """
+    root, deep, names = path.partition("/**")
+    names = names.strip("/") or "*.parquet"
+    if "/" in names:
+        raise ValueError(f"Only a pattern of file names may follow /**/: {path}")
+    reader = spark.read.option("pathGlobFilter", names if deep else "*.parquet")
+    df = signed((reader if not deep and any(c in root for c in "*?[{") else reader.option("recursiveFileLookup", "true")).parquet(root))
     return require(df, CELL_COLUMNS, "The enriched catalogue")
 
 

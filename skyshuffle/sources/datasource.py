@@ -1,4 +1,4 @@
-"""Octree files as a Spark data source: spark.read.format("octree").load(path).
+"""Tree files as a Spark data source: spark.read.format("startree").load(path).
 
 Each index shard is one input partition. Options: what = nodes (default) or stars.
 """
@@ -27,7 +27,7 @@ class Shard(InputPartition):
         self.offset = offset
 
 
-class OctreeReader(DataSourceReader):
+class TreeReader(DataSourceReader):
     def __init__(self, path: str, what: str):
         self.path, self.what = path, what
 
@@ -58,10 +58,10 @@ class OctreeReader(DataSourceReader):
                     yield pa.record_batch([pa.array([level] * n, pa.int32()), pa.array([node] * n, pa.int64()), pa.array(range(n), pa.int32()), *fields], [c.split(" ")[0] for c in STARS.split(", ")])
 
 
-class OctreeSource(DataSource):
+class TreeSource(DataSource):
     @classmethod
     def name(cls) -> str:
-        return "octree"
+        return "startree"
 
     def _what(self) -> str:
         what = self.options.get("what", "nodes")
@@ -72,12 +72,12 @@ class OctreeSource(DataSource):
     def schema(self) -> str:
         return NODES if self._what() == "nodes" else STARS
 
-    def reader(self, schema) -> OctreeReader:
-        return OctreeReader(self.options["path"], self._what())
+    def reader(self, schema) -> TreeReader:
+        return TreeReader(self.options["path"], self._what())
 
 
 def register(spark: SparkSession) -> None:
-    spark.dataSource.register(OctreeSource)
+    spark.dataSource.register(TreeSource)
 
 
-__all__ = ["OctreeSource", "register"]
+__all__ = ["TreeSource", "register"]

@@ -1,4 +1,4 @@
-"""Binary layouts of the octree, its intermediates and the identities file. All little-endian."""
+"""Binary layouts of the tree, its intermediates and the identities file. All little-endian."""
 
 from __future__ import annotations
 
@@ -52,8 +52,8 @@ def unpack_identities(data: bytes) -> list[tuple[str, str]]:
 
 
 @dataclass(frozen=True)
-class OctreeHeader:
-    """Header and descriptor of an octree file."""
+class TreeHeader:
+    """Header and descriptor of a tree file."""
 
     index_offset: int
     index_length: int
@@ -77,20 +77,20 @@ class OctreeHeader:
         return head + DESCRIPTOR.pack(b"ODSC", 1, KINDS[self.artifact_kind], *ids, kind)
 
     @staticmethod
-    def unpack(data: bytes) -> OctreeHeader:
+    def unpack(data: bytes) -> TreeHeader:
         if len(data) < STAR_HEADER.size + DESCRIPTOR.size:
-            raise ValueError("Truncated octree header")
+            raise ValueError("Truncated tree header")
         magic, version, _, offset, length, *center, half, size, level, mag, _ = STAR_HEADER.unpack_from(data)
         if magic != b"STAR" or version != 1:
-            raise ValueError(f"Not an octree file: {magic!r} version {version}")
+            raise ValueError(f"Not a tree file: {magic!r} version {version}")
         magic, version, code, a, b, c, kind = DESCRIPTOR.unpack_from(data, STAR_HEADER.size)
         if magic != b"ODSC" or version != 1:
-            raise ValueError(f"Not an octree descriptor: {magic!r} version {version}")
+            raise ValueError(f"Not a tree descriptor: {magic!r} version {version}")
         names = {v: k for k, v in KINDS.items()}
         if code not in names:
             raise ValueError(f"Unknown artifact kind: {code}")
         ids = [None if not any(x) else uuid.UUID(bytes=x) for x in (a, b, c)]
-        return OctreeHeader(offset, length, tuple(center), half, level, mag, size, names[code], *ids, kind.rstrip(b"\0").decode() or None)
+        return TreeHeader(offset, length, tuple(center), half, level, mag, size, names[code], *ids, kind.rstrip(b"\0").decode() or None)
 
 
 def shard_name(level: int, prefix_bits: int, prefix: int, family: str = "render") -> tuple[str, str]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +10,13 @@ _STORED: dict[tuple[str, str], str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a new local folder where it is unset (a single machine)."""
+    """spark.checkpoint.dir, or where it is unset, on a single machine, a local folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    key = (spark.sparkContext.applicationId, "")
-    if key not in _STORED:
-        _STORED[key] = tempfile.mkdtemp(prefix="skyshuffle-")
-    return _STORED[key]
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir is unset: executors elsewhere need a folder that they share with the driver")
+    return "/tmp/skyshuffle-shared"
 
 
 def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:

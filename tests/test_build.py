@@ -39,7 +39,7 @@ def built(spark, tmp_path_factory):
     return project, header, paths, rows
 
 
-def test_octree_round_trip(spark, built):
+def test_tree_round_trip(spark, built):
     project, header, _, rows = built
     path = str(project.paths["stage02_output_path"])
     nodes = artifacts.read_nodes(spark, path)
@@ -58,7 +58,7 @@ def test_data_source(spark, built):
 
     register(spark)
     path = str(built[0].paths["stage02_output_path"])
-    nodes, stars = (spark.read.format("octree").option("what", w).load(path) for w in ("nodes", "stars"))
+    nodes, stars = (spark.read.format("startree").option("what", w).load(path) for w in ("nodes", "stars"))
     for a, b in ((nodes, artifacts.read_nodes(spark, path)), (stars, artifacts.read_stars(spark, path))):
         assert a.count() == b.count() > 0 and a.exceptAll(b.select(*a.columns)).count() == 0
 
@@ -132,10 +132,10 @@ def test_identity_codec():
 def test_sizes_and_headers():
     sizes = [s.size for s in (formats.INTERMEDIATE_HEADER, formats.INTERMEDIATE_RECORD, formats.STAR_HEADER, formats.DESCRIPTOR, formats.SHARD_HEADER, formats.NODE, formats.FRONTIER, formats.IDENTITIES_HEADER, formats.IDENTITIES_RECORD)]
     assert sizes == [32, 24, 64, 128, 80, 20, 8, 80, 32]
-    head = formats.OctreeHeader(200, 10, (0.0, 0.0, 0.0), 200000.0, 13, 6.5)
-    assert formats.OctreeHeader.unpack(head.pack()) == head
+    head = formats.TreeHeader(200, 10, (0.0, 0.0, 0.0), 200000.0, 13, 6.5)
+    assert formats.TreeHeader.unpack(head.pack()) == head
     with pytest.raises(ValueError):
-        formats.OctreeHeader.unpack(b"X" * 192)
+        formats.TreeHeader.unpack(b"X" * 192)
     assert formats.compress(b"a") == formats.compress(b"a")
     assert formats.shard_name(10, 3, 5) == ("level-10-p3-5.index", "level-10-p3-5.payload")
 

@@ -1,4 +1,4 @@
-"""Every registered octree query against its SQL."""
+"""Every registered tree query against its SQL."""
 
 import pytest
 
@@ -28,3 +28,10 @@ def test_prefix_filter_is_pushed_down(spark):
 def test_shell_query_does_not_shuffle(spark):
     plan = queries.shell_query(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("name", ["shell_query", "radius_query", "nearest", "stats_rollup"])
+def test_bounded_queries_push_ranges_to_the_scan(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000000")
+    plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
+    assert any("GreaterThanOrEqual(morton_code" in line for line in plan.splitlines() if "PushedFilters" in line)
