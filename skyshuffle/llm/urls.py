@@ -57,8 +57,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     starts with the rule's path; the longest host+path wins, then block before allow. A URL that no rule fits gets
     rule null and the default verdict.
 
-    Each distinct URL gives the keys that a listed entry could have (its host's suffixes of listed label counts, its
-    path's prefixes of listed lengths). Keys that the Bloom filter lets through meet the rules in an exact hash join.
+    Each URL gives the keys that a listed entry could have (its host's suffixes of listed label counts, its path's
+    prefixes of listed lengths). Keys that the Bloom filter lets through meet the rules in an exact hash join. With a short
+    list both happen where pages are read, and hits alone are shuffled; with a long one, URLs are made distinct first.
     Null URLs and URLs without :// have empty host and path; repeated pages each keep their row; columns of pages named
     host, path, rule or verdict are replaced; an empty list gives every URL the default.
     """
@@ -81,8 +82,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     labels = F.size(F.split(host, "\\."))
     hosts = F.array(*(F.when(labels >= k, F.substring_index(host, ".", -k)) for k in sorted(shape["labels"])))
     paths = F.array(*(F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in sorted(shape["lengths"])))
+    urls = pages.where(host != "").select("host", "path")
     keys = (
-        pages.where(host != "").select("host", "path").distinct()
+        (urls if small else urls.distinct())
         .withColumn("suffix", F.explode(hosts)).where(F.col("suffix").isNotNull())
         .withColumn("prefix", F.explode(paths)).where(F.col("prefix").isNotNull())
         .withColumn("key", F.concat_ws(" ", "suffix", "prefix"))
@@ -98,9 +100,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
         .agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "verdict"), rank).alias("hit")),
         "url-hits",
     )
-    # stored, so that AQE can split the join where one URL has very many pages; pages without host need none
+    # stored, so that AQE can split the join where one URL has very many pages; pages without host need none. Hits grow with
+    # the pages, and a compressed table's size bounds no broadcast: the join is by shuffle
     hit = exact.select("host", "path", F.col("hit.rule").alias("rule"), F.col("hit.verdict").alias("verdict"))
-    met = pages.where(host != "").join(hit, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    met = pages.where(host != "").join(hit.hint("merge"), ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
     rest = pages.where(host == "").withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     return met.select(*rest.columns).unionByName(rest)
 
