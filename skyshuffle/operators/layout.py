@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import FILE_HEAD_BYTES, FRONTIER_BYTES, HAS_CHILDREN, HAS_PAYLOAD, IS_FRONTIER, LEVELS_PER_SHARD, NODE_BYTES, SHARD_HEADER_BYTES
 from ..functions.morton import dfs_key, shift_left, shift_right
-from ..plans.prefix import running_sum
+from ..plans.prefix import running_sum, running_sums
 from .cells import KEY, preorder
 
 
@@ -74,8 +74,8 @@ def shard_headers(nodes: DataFrame, index_offset: int = 0) -> DataFrame:
         "shard_bytes": F.lit(SHARD_HEADER_BYTES) + NODE_BYTES * F.col("node_count") + FRONTIER_BYTES * F.col("frontier_count"),
         "parent_key": F.when(F.col("parent_level") < 0, F.lit(0)).otherwise(dfs_key(F.col("parent_node"), F.col("parent_level"))).cast("long"),
     })
-    shards = running_sum(shards, "parent_key", ["parent_level"], F.lit(1), "shard_id").withColumn("shard_id", F.col("shard_id") + 1)
-    shards = running_sum(shards, "parent_key", ["parent_level"], F.col("shard_bytes"), "shard_offset").withColumn("shard_offset", F.col("shard_offset") + F.lit(index_offset))
+    shards = running_sums(shards, "parent_key", ["parent_level"], {"shard_id": F.lit(1), "shard_offset": F.col("shard_bytes")})
+    shards = shards.withColumns({"shard_id": F.col("shard_id") + 1, "shard_offset": F.col("shard_offset") + F.lit(index_offset)})
     return shards.drop("parent_key")
 
 

@@ -14,18 +14,28 @@ from pyspark.sql import functions as F
 from ..functions.morton import shift_right
 
 
-def running_sum(df: DataFrame, key: str, order: list[str], value: Column, name: str) -> DataFrame:
-    """Adds the sum of value over all rows before this one, in order of key and order; every key must be >= 0."""
+def running_sums(df: DataFrame, key: str, order: list[str], values: dict[str, Column]) -> DataFrame:
+    """Adds under each name the sum of its value over all rows before this one, in order of key and order, all in one pass.
+
+    Every key must be >= 0.
+    """
     fine, coarse = "__fine", "__coarse"
-    rows = df.withColumns({"__value": value.cast("long"), fine: shift_right(F.col(key), 21), coarse: shift_right(F.col(key), 42)})
+    rows = df.withColumns({**{f"__value_{n}": v.cast("long") for n, v in values.items()}, fine: shift_right(F.col(key), 21), coarse: shift_right(F.col(key), 42)})
     before = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
-    fines = rows.groupBy(coarse, fine).agg(F.sum("__value").alias("__s"))
-    coarses = fines.groupBy(coarse).agg(F.sum("__s").alias("__t"))
-    coarses = coarses.select(coarse, F.coalesce(F.sum("__t").over(before(W.orderBy(coarse))), F.lit(0)).alias("__base"))
-    fines = fines.join(coarses, coarse).select(fine, (F.col("__base") + F.coalesce(F.sum("__s").over(before(W.partitionBy(coarse).orderBy(fine))), F.lit(0))).alias("__start"))
-    inner = before(W.partitionBy(fine).orderBy(key, *order))
-    out = rows.join(fines, fine).withColumn(name, (F.col("__start") + F.coalesce(F.sum("__value").over(inner), F.lit(0))).cast("long"))
-    return out.drop("__value", fine, coarse, "__start")
+    upto = lambda c, w: F.coalesce(F.sum(c).over(before(w)), F.lit(0))
+    fines = rows.groupBy(coarse, fine).agg(*(F.sum(f"__value_{n}").alias(f"__s_{n}") for n in values))
+    coarses = fines.groupBy(coarse).agg(*(F.sum(f"__s_{n}").alias(f"__t_{n}") for n in values))
+    coarses = coarses.select(coarse, *(upto(f"__t_{n}", W.orderBy(coarse)).alias(f"__base_{n}") for n in values))
+    starts = [(F.col(f"__base_{n}") + upto(f"__s_{n}", W.partitionBy(coarse).orderBy(fine))).alias(f"__start_{n}") for n in values]
+    fines = fines.join(coarses, coarse).select(fine, *starts)
+    inner = W.partitionBy(fine).orderBy(key, *order)
+    out = rows.join(fines, fine).withColumns({n: (F.col(f"__start_{n}") + upto(f"__value_{n}", inner)).cast("long") for n in values})
+    return out.drop(fine, coarse, *(f"__{kind}_{n}" for kind in ("value", "start") for n in values))
+
+
+def running_sum(df: DataFrame, key: str, order: list[str], value: Column, name: str) -> DataFrame:
+    """Adds the sum of value over all rows before this one, in order of key and order; every key must be >= 0."""
+    return running_sums(df, key, order, {name: value})
 
 
 def previous_max(df: DataFrame, key: str, order: list[str], value: Column, name: str) -> DataFrame:
