@@ -75,7 +75,7 @@ class _Open:
 
 
 def blocks(source: str | None, titles: bool = False) -> list[Block]:
-    """Blocks in page order, in time in proportion to the page; never fails.
+    """Blocks in page order; never fails. Time is in proportion to the page, unless its quotes never leave a tag closed: then to its square.
 
     Comments, scripts, styles, text areas, inline frames, and without `titles` titles are left out. One of those that is
     never closed goes to the end of the page; all other elements that are not closed, or closed but not open, are
