@@ -11,11 +11,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = ("script", "style", "title", "textarea", "iframe")
 SELF_CLOSING = frozenset("p li dt dd tr td th option".split())
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)
-    |</?[a-zA-Z][^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*>|<[/!?a-zA-Z][^>]*(?:>|\Z)|[^<]+|<""",
-    re.S | re.X,
-)
+_ASIDE, _CUT = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", r"(?P<cut><[/!?a-zA-Z][^>]*(?:>|\Z))|[^<]+|<"
+_TOKEN = re.compile(rf"""{_ASIDE}|</?[a-zA-Z][^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*>|{_CUT}""", re.S)
+_CUT_TOKEN = re.compile(f"{_ASIDE}|{_CUT}", re.S)
+_QUOTE_OR_END = re.compile("""[>"']""")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _HINT = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
@@ -46,6 +45,24 @@ def _hints(tag: str) -> tuple[str, ...]:
     return tuple(w.lower() for value in _HINT.findall(tag) for w in _WORDS.findall(value))
 
 
+def _tag_end(source: str, at: int, dead: set[int]) -> int:
+    """Past the first > behind `at` that stands in no quotes; 0 if there is none.
+
+    `dead` keeps the opening quotes from which there is none: a search ends at the first that it meets, so all searches in a
+    page together look at each quote once.
+    """
+    met = []
+    found = _QUOTE_OR_END.search(source, at)
+    while found and found.start() not in dead:
+        if found[0] == ">":
+            return found.end()
+        met.append(found.start())
+        end = source.find(found[0], found.end())
+        found = _QUOTE_OR_END.search(source, end + 1) if end >= 0 else None
+    dead.update(met)
+    return 0
+
+
 class _Open:
     """The open elements, with the places of each name and of those that an element cannot close over: no tag walks them."""
 
@@ -75,7 +92,9 @@ class _Open:
 
 
 def blocks(source: str | None, titles: bool = False) -> list[Block]:
-    """Blocks in page order; never fails. Time is in proportion to the page, unless its quotes never leave a tag closed: then to its square.
+    """Blocks in page order; never fails. Time is in proportion to the page.
+
+    A tag ends at the first > outside quotes, or, where its quotes leave none, at the first > of all.
 
     Comments, scripts, styles, text areas, inline frames, and without `titles` titles are left out. One of those that is
     never closed goes to the end of the page; all other elements that are not closed, or closed but not open, are
@@ -87,6 +106,7 @@ def blocks(source: str | None, titles: bool = False) -> list[Block]:
     open_ = _Open()
     parts: list[str] = []
     linked, in_link, at, size = 0, 0, 0, len(source)
+    dead: set[int] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -97,9 +117,11 @@ def blocks(source: str | None, titles: bool = False) -> list[Block]:
         linked = 0
 
     while at < size:
-        match = _TOKEN.match(source, at)
-        token, at = match[0], match.end()
+        match = (_CUT_TOKEN if dead else _TOKEN).match(source, at)
+        token, start, at = match[0], at, match.end()
         named = _NAME.match(token) if token[0] == "<" else None
+        if named and match["cut"] and (end := _tag_end(source, start, dead)):
+            token, at = source[start:end], end
         if named is None:
             if token[:2] not in ("<!", "<?", "</"):
                 parts.append(token)

@@ -469,6 +469,58 @@ def test_language_edges(spark):
     assert {r["lang_pred"] for r in language.identify_language(df, language.train_language(df.limit(0))).collect()} == {"und"}
 
 
+def test_byte_network_against_plain_convolution():
+    """Windows of several texts at once give what one window alone gives, filter by filter and place by place."""
+    rng = np.random.default_rng(9)
+    f, n = language.FILTERS * len(language.WIDTHS), language.LENGTH
+    net = language.ByteNetwork()
+    net.langs = ["a", "b", "c"]
+    net.weights = {"embed": rng.normal(0, 1, (257, language.EMBED)), "filter": rng.normal(0, 1, (language.WIDEST * language.EMBED, f)) * net._mask(), "bias": rng.normal(0, 1, f), "out": rng.normal(0, 1, (f, 3)), "out_bias": rng.normal(0, 1, 3)}
+    net.weights = {k: v.astype(np.float32) for k, v in net.weights.items()}
+    net.weights["embed"][language.PAD] = 0
+    texts = [b"The Cat sat", b"x", b"", "жук й".encode() * 60, b"Ab c" * 200]
+    langs, p = net.predict(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+    w = net.weights
+    for text, lang, got in zip(texts, langs, p, strict=True):
+        if not text:
+            assert (lang, got) == ("und", 0)
+            continue
+        total = np.zeros(3)
+        for s in range(0, len(text), n):
+            window = text[s : s + n].lower()
+            cells = list(window) + [language.PAD] * (n + language.WIDEST - 1 - len(window))
+            pooled = []
+            for k in range(f):
+                width = language.WIDTHS[k // language.FILTERS]
+                at = [sum(float(w["embed"][cells[i + j]] @ w["filter"][j * language.EMBED : (j + 1) * language.EMBED, k]) for j in range(width)) for i in range(n)]
+                pooled.append(max(0.0, max(at) + float(w["bias"][k])))
+            total += (np.array(pooled) @ w["out"] + w["out_bias"]) * len(window)
+        e = np.exp(total / len(text) - (total / len(text)).max())
+        assert lang == net.langs[int(e.argmax())] and abs(got - (e / e.sum()).max()) < 1e-3
+
+
+def test_quality_network_against_plain_pooling(monkeypatch):
+    """Documents of many sizes pooled at once give what each gives alone, symbol by symbol."""
+    rng = np.random.default_rng(2)
+    monkeypatch.setattr(quality, "BLOCK", 3)
+    doc = np.repeat(np.arange(7), [3, 0, 1, 5, 0, 2, 4])
+    symbol, vectors = rng.integers(0, 6, len(doc)), rng.normal(0, 1, (6, 4)).astype(np.float32)
+    got = quality._pooled(7, doc, symbol, vectors)
+    for k in range(7):
+        own = [vectors[s] for d, s in zip(doc, symbol, strict=True) if d == k]
+        assert np.allclose(got[k], np.mean(own, 0) if own else 0, atol=1e-5)
+    spots = quality._index_spots(6, 1)
+    total = np.zeros((6 * quality.DIM), np.int64)
+    quality._add_contexts(total, symbol, doc, spots)
+    plain = np.zeros((6, quality.DIM), np.int64)
+    for i in range(len(doc)):
+        for j in range(max(0, i - quality.CONTEXT), min(len(doc), i + quality.CONTEXT + 1)):
+            if i != j and doc[i] == doc[j]:
+                for k, spot in enumerate(spots):
+                    plain[symbol[i], spot[symbol[j]]] += 1 if k % 2 else -1
+    assert (total.reshape(6, -1) == plain).all()
+
+
 def test_temperature_flattens_overconfidence():
     rng = np.random.default_rng(0)
     gold = rng.integers(0, 2, 400)
@@ -495,7 +547,7 @@ def test_blocks():
 
 def test_long_broken_pages_take_time_in_proportion():
     n = 20000
-    pages = ["</b>" * n + "<b>" * n + "</i>" * n, "<div>" * 8000 + "<p>x" * 8000, ("<p><li>" + "<b>" * 50) * 2000, "<p><li><div>" + "<b>" * n + "<p><li>" * n, "<svg>x" * n, "<a href=\"" * n]
+    pages = ["</b>" * n + "<b>" * n + "</i>" * n, "<div>" * 8000 + "<p>x" * 8000, ("<p><li>" + "<b>" * 50) * 2000, "<p><li><div>" + "<b>" * n + "<p><li>" * n, "<svg>x" * n, "<a href=\"" * n, "<a \">\"'" * n, "<a '\">" * n]
     cache, start = {}, time.process_time()
     for page in pages:
         found = markup.blocks(page)
@@ -504,6 +556,61 @@ def test_long_broken_pages_take_time_in_proportion():
     assert time.process_time() - start < 20 and len(markup.blocks(pages[1])) == 8000
 
 
+def test_ends_of_tags_by_brute_force():
+    """Quotes in tags, closed and not, against a walk over the characters from each tag anew."""
+
+    def walk(source, at):
+        quote = ""
+        for k in range(at, len(source)):
+            if quote:
+                quote = "" if source[k] == quote else quote
+            elif source[k] in "\"'":
+                quote = source[k]
+            elif source[k] == ">":
+                return k + 1
+        return source.find(">", at) + 1 or len(source)
+
+    def texts(source):
+        out, at = [], 0
+        while at < len(source):
+            if re.match("</?[a-z]", source[at : at + 3]):
+                end = walk(source, at)
+                if source[at : at + 2] == "<p" or source[at : at + 3] == "</p":
+                    out.append("")
+            else:
+                end = at + 1
+                out = (out or [""])[:-1] + [(out or [""])[-1] + source[at]]
+            at = end
+        return [" ".join(t.split()) for t in out if t.split()]
+
+    rng = random.Random(5)
+    for _ in range(4000):
+        source = "".join(rng.choice(["<p ", "<p>", "</p>", "<b ", "<b>", '"', "'", ">", "x", "y ", ' c="d"']) for _ in range(rng.randint(1, 25)))
+        assert [b.text for b in markup.blocks(source)] == texts(source), source
+
+
+def test_labeller_against_plain_recurrence():
+    """Batches of padded pages give what one page alone gives, one block and one unit at a time."""
+    model, rng, h = extraction.BlockLabeller(), np.random.default_rng(4), extraction.HIDDEN
+    pages = [rng.normal(0, 1, (n, extraction.FEATURES)).astype(np.float32) for n in (1, 4, 9)]
+    logits, *_ = model.logits(*extraction._padded(pages))
+
+    def states(d, rows):
+        out, cell, out_all = [0.0] * h, [0.0] * h, []
+        for row in rows:
+            z = [float(row @ model.w[f"{d}x"][:, k]) + float(model.w[f"{d}c"][k]) + sum(out[j] * float(model.w[f"{d}h"][j, k]) for j in range(h)) for k in range(4 * h)]
+            gate = lambda k: 1 / (1 + np.exp(-z[k]))  # noqa: B023, E731
+            cell = [gate(h + j) * cell[j] + gate(j) * np.tanh(z[3 * h + j]) for j in range(h)]
+            out = [gate(2 * h + j) * np.tanh(cell[j]) for j in range(h)]
+            out_all.append(out)
+        return out_all
+
+    for k, page in enumerate(pages):
+        both = zip(states("f", page), states("b", page[::-1])[::-1], strict=True)
+        plain = [float(np.dot(a + b, model.w["out"][:, 0]) + model.w["bias"][0]) for a, b in both]
+        assert np.allclose(logits[: len(page), k], plain, atol=1e-3)
+
+
 def test_extraction_of_labelled_pages(spark):
     model = extraction.train_labeller()
     rng, right, n = random.Random(77), 0, 0
