@@ -1,4 +1,4 @@
-"""Command line: python -m skyshuffle project-init | stage-00 | stage-01 | stage-02 | stage-03 | stats."""
+"""Command line: python -m skyshuffle project init | stage-00 | stage-01 | stage-02 | stage-03 | stats."""
 
 from __future__ import annotations
 
@@ -24,8 +24,9 @@ def _point(value: str) -> tuple[float, float, float]:
 def _parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="skyshuffle")
     sub = top.add_subparsers(dest="command", required=True)
-    init = sub.add_parser("project-init", help="write a project file")
-    init.add_argument("path", type=Path)
+    project = sub.add_parser("project").add_subparsers(dest="action", required=True).add_parser("init", help="write a project file")
+    for init in (project, sub.add_parser("project-init", help="the same as project init")):
+        init.add_argument("path", type=Path)
     for name in ("stage-00", "stage-01", "stage-02", "stage-03"):
         p = sub.add_parser(name)
         p.add_argument("--project", required=True, type=Path)
@@ -45,7 +46,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    if args.command == "project-init":
+    if args.command in ("project", "project-init"):
         if args.path.exists():
             print(f"{args.path} exists", file=sys.stderr)
             return 1

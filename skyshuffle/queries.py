@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import math
 import uuid
@@ -530,12 +531,27 @@ def coalesce_ranges(spark, sf_dir):
 
 # --- diffuse light -----------------------------------------------------------------------------------------------
 
-_T = "least(greatest((teff_s - 2000.0::DOUBLE) / 10000.0::DOUBLE, 0.0::DOUBLE), 1.0::DOUBLE)"
+_LOG_T = "log10(least(greatest(teff_s, 2900.0::DOUBLE), 52000.0::DOUBLE))"
+
+
+def _horner(terms: str) -> str:
+    """SQL of a polynomial in lt, of terms with the highest power first."""
+    first, *rest = terms.split()
+    return functools.reduce(lambda total, term: f"({total} * lt + ({term})::DOUBLE)", rest, f"({first})::DOUBLE")
+
+
+_HOT = _horner("0.788731721804990e02 -0.170587278406872e04 0.147412923562646e05 -0.636233812100225e05 0.137145973583929e06 -0.118115450538963e06")
+_WARM = _horner("-0.170623810323864e03 0.261724637119416e04 -0.150651486316025e05 0.385672629965804e05 -0.370510203809015e05")
+_COOL = _horner("0.381476328422343e03 -0.421278819301717e04 0.155144866764412e05 -0.190537291496456e05")
+_RED = "CASE WHEN t <= 66 THEN 255.0::DOUBLE ELSE 329.698727446::DOUBLE * pow(t - 60, -0.1332047592::DOUBLE) END"
+_GREEN = "CASE WHEN t <= 66 THEN 99.4708025861::DOUBLE * ln(t) - 161.1195681661::DOUBLE ELSE 288.1221695283::DOUBLE * pow(t - 60, -0.0755148492::DOUBLE) END"
+_BLUE = "CASE WHEN t >= 66 THEN 255.0::DOUBLE WHEN t <= 19 THEN 0.0::DOUBLE ELSE 138.5177312231::DOUBLE * ln(t - 10) - 305.0447927307::DOUBLE END"
+_LINEAR = ", ".join(f"pow(least(greatest({c}, 0.0::DOUBLE), 255.0::DOUBLE) / 255.0::DOUBLE, 2.2::DOUBLE) AS {n}" for c, n in ((_RED, "r"), (_GREEN, "g"), (_BLUE, "b")))
 _GLOW = f"""{ENRICHED},
-lit AS (SELECT level, node_id, pow(10.0::DOUBLE, (4.74::DOUBLE - mag_abs) / 2.5::DOUBLE) AS l, teff_s, {_T} AS t FROM enriched WHERE mag_abs IS NOT NULL),
-massed AS (SELECT *, least(greatest(CASE WHEN l < 0.033 THEN pow(l / 0.23::DOUBLE, {1 / 2.3!r}::DOUBLE) WHEN l < 16.0 THEN pow(l, 0.25::DOUBLE) WHEN l < 1727418.0 THEN pow(l / 1.4::DOUBLE, {1 / 3.5!r}::DOUBLE) ELSE l / 32000.0::DOUBLE END, 0.08), 150.0) AS m FROM lit),
-leaf AS (SELECT level, node_id, count(*) AS n, sum(l) AS lum, sum(l * pow((255.0::DOUBLE - t * 100.0) / 255.0::DOUBLE, 2.2)) AS lum_r, sum(l * pow((180.0::DOUBLE + t * 20.0) / 255.0::DOUBLE, 2.2)) AS lum_g,
-  sum(l * pow((80.0::DOUBLE + t * 175.0) / 255.0::DOUBLE, 2.2)) AS lum_b, sum(m) AS mass, sum(l * teff_s) AS lum_teff FROM massed GROUP BY level, node_id),
+warm AS (SELECT level, node_id, mag_abs, teff_s, {_LOG_T} AS lt, teff_s / 100.0::DOUBLE AS t FROM enriched WHERE isfinite(mag_abs)),
+lit AS (SELECT *, pow(10.0::DOUBLE, (4.74::DOUBLE - (mag_abs + CASE WHEN lt >= 3.9::DOUBLE THEN {_HOT} WHEN lt >= 3.7::DOUBLE THEN {_WARM} ELSE {_COOL} END)) / 2.5::DOUBLE) AS l, {_LINEAR} FROM warm),
+massed AS (SELECT *, least(greatest(CASE WHEN l < 0.033 THEN pow(l, {1 / 2.3!r}::DOUBLE) WHEN l < 16.0 THEN pow(l, 0.25::DOUBLE) WHEN l < 1e5 THEN pow(l, {1 / 3.5!r}::DOUBLE) ELSE l END, 0.08), 150.0) AS m FROM lit),
+leaf AS (SELECT level, node_id, count(*) AS n, sum(l) AS lum, sum(l * r) AS lum_r, sum(l * g) AS lum_g, sum(l * b) AS lum_b, sum(m) AS mass, sum(l * teff_s) AS lum_teff FROM massed GROUP BY level, node_id),
 tree AS (SELECT k AS level, node_id >> (3 * (level - k)) AS node_id, sum(n)::BIGINT AS n, sum(lum) AS lum, sum(lum_r) AS lum_r, sum(lum_g) AS lum_g, sum(lum_b) AS lum_b, sum(mass) AS mass, sum(lum_teff) AS lum_teff
   FROM (SELECT *, unnest(range(0, level + 1)) AS k FROM leaf) GROUP BY 1, 2)"""
 

@@ -26,7 +26,7 @@ from ..operators import cells as C
 from ..operators import layout
 from ..operators.enrich import STAR
 from . import formats as fmt
-from .ranges import Ranges
+from .ranges import Ranges, changed
 from .store import stored
 
 log = logging.getLogger(__name__)
@@ -196,14 +196,14 @@ def write_identities(payloads: DataFrame, path: str, parent_uuid: uuid.UUID, dee
     def write(out) -> None:
         start, count, length = fmt.IDENTITIES_HEADER.size, payloads.count(), 0
         directory = start + count * fmt.IDENTITIES_RECORD.size
-        out.write(b"\0" * directory)
-        for k, r in enumerate(rows.select("level", "node_id", "star_count", "payload").toLocalIterator()):
-            data = gzip.decompress(r["payload"])
-            out.seek(start + k * fmt.IDENTITIES_RECORD.size)
-            out.write(fmt.IDENTITIES_RECORD.pack(r["level"], r["node_id"], r["star_count"], length, len(data)))
-            out.seek(directory + length)
-            out.write(data)
-            length += len(data)
+        out.seek(start)
+        with open(out.name, "r+b") as cells:  # directory and payload grow side by side, each written through
+            cells.seek(directory)
+            for r in rows.select("level", "node_id", "star_count", "payload").toLocalIterator():
+                data = gzip.decompress(r["payload"])
+                out.write(fmt.IDENTITIES_RECORD.pack(r["level"], r["node_id"], r["star_count"], length, len(data)))
+                cells.write(data)
+                length += len(data)
         out.seek(0)
         out.write(fmt.IDENTITIES_HEADER.pack(b"OIOR", 1, start, parent_uuid.bytes, uuid.uuid4().bytes, start, directory - start, directory, length, count))
 
@@ -284,7 +284,7 @@ def read_nodes(spark: SparkSession, path: str) -> DataFrame:
     header = read_header(path)
     level_of, found = spark.createDataFrame([(header.index_offset,)] if header.index_length else [], "next long"), None
     for k in range(-(-(header.max_level + 1) // LEVELS_PER_SHARD)):
-        part = stored(spark, f"nodes of {path} {os.path.getmtime(path) if os.path.exists(path) else ''} {k}", lambda todo=level_of: todo.mapInArrow(_shard_reader(path), NODES))
+        part = stored(spark, f"nodes of {path} {changed(path)} {header.dataset_uuid or header.sidecar_uuid} {k}", lambda todo=level_of: todo.mapInArrow(_shard_reader(path), NODES))
         found = part if found is None else found.unionByName(part)
         level_of = part.where("next > 0").select("next").repartition(max(1, spark.sparkContext.defaultParallelism))
     return found.drop("next")

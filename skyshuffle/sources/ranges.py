@@ -1,10 +1,12 @@
-"""Byte ranges of local files and HTTP resources."""
+"""Byte ranges of local files, HTTP resources and files of other file systems."""
 
 from __future__ import annotations
 
 import urllib.request
 from collections import OrderedDict
 
+from pyarrow import fs
+
 BLOCK_BYTES, BLOCKS = 256 * 1024, 128
 
 
@@ -12,12 +14,28 @@ def is_url(source: str) -> bool:
     return source.lower().startswith(("http://", "https://"))
 
 
+def changed(source: str) -> str:
+    """A mark that a file's rewriting changes; empty for HTTP, which tells of none, and for what is not there."""
+    if is_url(source):
+        return ""
+    system, path = _located(source)
+    return str(system.get_file_info(path).mtime_ns or "")
+
+
+def _located(source: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI (file, hdfs, s3, gs ...) or a local path, and the path there."""
+    return fs.FileSystem.from_uri(source) if "://" in source else (fs.LocalFileSystem(), source)
+
+
 class Ranges:
-    """read(offset, size) of a path or URL. HTTP is read in aligned blocks, of which the latest are kept."""
+    """read(offset, size) of a path or URI. HTTP is read in aligned blocks, of which the latest are kept."""
 
     def __init__(self, source: str):
         self.source = source
-        self._file = None if is_url(source) else open(source, "rb")  # noqa: SIM115
+        self._file = None
+        if not is_url(source):
+            system, path = _located(source)
+            self._file = system.open_input_file(path)
         self._blocks: OrderedDict[int, bytes] = OrderedDict()
 
     def _block(self, k: int) -> bytes:

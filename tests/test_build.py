@@ -58,7 +58,7 @@ def test_data_source(spark, built):
 
     register(spark)
     path = str(built[0].paths["stage02_output_path"])
-    nodes, stars = (spark.read.format("startree").option("what", w).load(path) for w in ("nodes", "stars"))
+    nodes, stars = (spark.read.format("startree").option("what", w).load(p) for w, p in (("nodes", path), ("stars", f"file://{path}")))
     for a, b in ((nodes, artifacts.read_nodes(spark, path)), (stars, artifacts.read_stars(spark, path))):
         assert a.count() == b.count() > 0 and a.exceptAll(b.select(*a.columns)).count() == 0
 
@@ -147,7 +147,21 @@ def test_bad_projects(tmp_path, change):
         load_project(tmp_path / "p.toml")
 
 
+def test_planning_reads_few_shards(built, monkeypatch):
+    """Whether the driver finds all shards or only the first, tasks read each node once."""
+    from skyshuffle.sources import datasource
+
+    path, seen = str(built[0].paths["stage02_output_path"]), []
+    for planned in (1, 2, 10**9):
+        monkeypatch.setattr(datasource, "PLANNED", planned)
+        reader = datasource.TreeReader(path, "nodes")
+        parts = reader.partitions()
+        seen.append((len(parts), sorted(tuple(r.values()) for p in parts for b in reader.read(p) for r in b.to_pylist())))
+    assert seen[0][0] == 1 < seen[2][0] and seen[0][1] == seen[1][1] == seen[2][1] and len(set(seen[0][1])) == len(seen[0][1])
+
+
 def test_cli_init(tmp_path):
+    assert main(["project", "init", str(tmp_path / "q.toml")]) == 0
     assert main(["project-init", str(tmp_path / "p.toml")]) == 0
     assert main(["project-init", str(tmp_path / "p.toml")]) == 1
     assert load_project(tmp_path / "p.toml").sidecars == {"meta": ()}

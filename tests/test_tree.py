@@ -176,3 +176,20 @@ def test_coalescing_by_gap(spark):
     ranges = spark.createDataFrame([(i, 0, s, n) for i, (s, n) in enumerate([(0, 10), (12, 5), (100, 1), (200, 0)])], "dfs_key long, level int, output_offset long, payload_len long")
     assert list(search.coalesce_ranges(ranges, 2).first()) == [3, 2, 16, 18, 17]
     assert list(search.coalesce_ranges(ranges.limit(0), 2).first()) == [0, 0, 0, 0, 0]
+
+
+def test_light_of_stars(spark):
+    """Corrections and masses as published: the sun, ends of the fit, surface gravity; what shines without a magnitude."""
+    from skyshuffle.operators import glow
+
+    inf, nan = float("inf"), float("nan")
+    stars = [(4.83, 5772.0, 4.438), (4.83, 5772.0, None), (4.83, 5772.0, nan), (4.83, 5772.0, -1.0), (4.83, 5772.0, 9.5), (-20.0, 5772.0, None), (20.0, 5772.0, None), (4.83, 500.0, None), (4.83, 2900.0, None), (4.83, nan, None), (inf, 5772.0, None), (nan, 5772.0, None), (None, 5772.0, None)]
+    df = spark.createDataFrame([(k, 0, *s) for k, s in enumerate(stars)], "node_id long, level int, mag_abs double, teff double, log_g double")
+    got = {r["node_id"]: r for r in glow.glow_leaves(df).collect()}
+    assert sorted(got) == list(range(10))
+    assert abs(got[0]["lum"] - 1) < 0.02 and abs(got[0]["mass"] - 1) < 0.03
+    plain = min(max(got[1]["lum"] ** 0.25, 0.08), 150)
+    assert all(abs(got[k]["mass"] - plain) < 1e-9 for k in (1, 2, 3, 4))
+    assert got[5]["mass"] == 150 and got[6]["mass"] == 0.08 and got[7]["lum"] == got[8]["lum"]
+    assert got[7]["lum_b"] == 0 and got[7]["lum_r"] == got[7]["lum"] and abs(got[9]["lum_teff"] / got[9]["lum"] - 5800) < 1e-6
+    assert {r["n"] for r in got.values()} == {1}
