@@ -177,6 +177,15 @@ def ident_map(spark, sf_dir):
     return meta.last_wins(identifiers(spark, sf_dir))
 
 
+@query(f"""WITH {STARS}, {IDS} SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 9 <> 0 THEN hip_id WHEN k % 4 <> 0 THEN k END AS hip_id, CASE WHEN k % 9 <> 0 THEN constellation WHEN k % 2 = 0 THEN 'Late' END AS constellation,
+  CASE WHEN k % 9 <> 0 THEN hd END AS hd, CASE WHEN k % 9 <> 0 THEN proper_name END AS proper_name) FROM (SELECT *, source_id::BIGINT AS k FROM ids)""")
+def ident_last_wins(spark, sf_dir):
+    """Some stars come twice, the second time with blanks and a number that is none."""
+    first, k = identifiers(spark, sf_dir).withColumn("hip_id", F.col("hip_id").cast("string")), F.col("source_id").cast("long")
+    late = first.where(k % 9 == 0).withColumns({"row": F.col("row") + 10**12, "hip_id": F.when(k % 4 == 0, "none").otherwise(F.concat(F.lit(" "), "source_id")), "hd": F.lit(None).cast("long"), "constellation": F.when(k % 2 == 0, " Late ").otherwise("  "), "proper_name": F.lit("")})
+    return meta.last_wins(late.unionByName(first))
+
+
 @query(f"WITH {STARS} SELECT source, source_id, 5800.0::DOUBLE AS teff FROM stars")
 def default_teff(spark, sf_dir):
     return catalog.default_teff(stars(spark, sf_dir).drop("teff")).select("source", "source_id", "teff")
@@ -263,6 +272,32 @@ def union_sources(spark, sf_dir):
     return df.where("source = 'hip'").unionByName(df.where("source <> 'hip'")).groupBy("source").agg(F.count("*").alias("stars"))
 
 
+# Stars beyond the world and on its faces, magnitudes that are nan, infinite or too large for 16 bits, temperatures that are
+# nan, and columns of an earlier run.
+EDGES = (
+    ("x_icrs_pc", "x_icrs_pc * 64"),
+    ("y_icrs_pc", "CASE WHEN n % 5 = 0 THEN 200000 WHEN n % 5 = 1 THEN -200000 ELSE y_icrs_pc END"),
+    ("mag_abs", "CASE WHEN n % 11 = 0 THEN CAST('nan' AS DOUBLE) WHEN n % 13 = 0 THEN CAST('infinity' AS DOUBLE) WHEN n % 17 = 0 THEN CAST('-infinity' AS DOUBLE) WHEN n % 3 = 0 THEN mag_abs * 400 ELSE mag_abs END"),
+    ("teff", "CASE WHEN n % 19 = 0 THEN CAST('nan' AS DOUBLE) WHEN n % 23 = 0 THEN CAST('infinity' AS DOUBLE) ELSE teff END"),
+)
+_FINITE = "CASE WHEN isfinite(mag_abs) THEN mag_abs ELSE 99.0::DOUBLE END AS mag_s, CASE WHEN isfinite(teff) THEN teff ELSE 5800.0::DOUBLE END AS teff_s"
+
+
+def _edged(sql: str) -> str:
+    """SQL over the stars with those edges."""
+    said = ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in EDGES)
+    out = sql.replace(STARS, STARS.replace("stars AS", "plain AS") + f", stars AS (SELECT * REPLACE ({said}) FROM plain)")
+    return out.replace("coalesce(mag_abs, 99.0::DOUBLE) AS mag_s, coalesce(teff, 5800.0::DOUBLE) AS teff_s", _FINITE)
+
+
+@query(f"WITH {_edged(DECODED)} SELECT source_id, morton_code, level, rel_x::DOUBLE AS rel_x, rel_y::DOUBLE AS rel_y, rel_z::DOUBLE AS rel_z, mag_centi, teff8, mag_abs IS NOT NULL AS in_cells FROM packed")
+def enrich_edges(spark, sf_dir):
+    df = stars(spark, sf_dir).withColumn("n", F.col("source_id").cast("long"))
+    df = df.withColumns({c: F.expr(f"cast({e} as double)") for c, e in EDGES}).withColumns({"level": F.lit("stale"), "morton_code": F.lit(-1), "render": F.lit(None).cast("binary")})
+    kept = [F.col(f"rel_{a}").cast("double").alias(f"rel_{a}") for a in "xyz"]
+    return E.enrich_fields(df, LEVELS).select("source_id", "morton_code", "level", *kept, "mag_centi", "teff8", F.col("mag_abs").isNotNull().alias("in_cells"))
+
+
 # --- cells -------------------------------------------------------------------------------------------------------
 
 
@@ -324,6 +359,16 @@ def monotone_check(spark, sf_dir):
     return C.order_breaches(C.shard_offsets(C.with_shard(cells(spark, sf_dir), DEEP_FROM, PREFIX_BITS)))
 
 
+@query(f"""WITH {_SHARD_SQL}, placed AS (SELECT *, coalesce(sum(payload_len) OVER (PARTITION BY level, prefix_bits, prefix ORDER BY node_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS payload_offset FROM split),
+broken AS (SELECT * REPLACE (CASE WHEN star_count = 2 THEN node_id - 1000000 ELSE node_id END AS node_id, CASE WHEN star_count % 3 = 0 THEN payload_len + 1 ELSE payload_len END AS payload_len) FROM placed),
+seen AS (SELECT *, lag(node_id) OVER w AS before, lead(payload_offset) OVER w AS after FROM broken WINDOW w AS (PARTITION BY level, prefix_bits, prefix ORDER BY payload_offset))
+SELECT level, prefix_bits, prefix, node_id FROM seen WHERE node_id <= before OR payload_offset + payload_len > after""")
+def monotone_breaches(spark, sf_dir):
+    df = C.shard_offsets(C.with_shard(cells(spark, sf_dir), DEEP_FROM, PREFIX_BITS))
+    broken = {"node_id": F.when(F.col("star_count") == 2, F.col("node_id") - 1_000_000).otherwise(F.col("node_id")), "payload_len": F.col("payload_len") + (F.col("star_count") % 3 == 0).cast("int")}
+    return C.order_breaches(df.withColumns(broken))
+
+
 @query(f"WITH {CELLS} SELECT level, node_id, star_count FROM cells c WHERE EXISTS (SELECT 1 FROM cells p WHERE p.level = c.level - 1 AND p.node_id = c.node_id >> 3)")
 def semi_cells(spark, sf_dir):
     df = cells(spark, sf_dir)
@@ -520,15 +565,25 @@ def stats_format(spark, sf_dir):
     return _stats(spark, sf_dir).select("level", text.kilobytes(F.col("payload_bytes")).alias("size"), text.megabytes(F.col("payload_bytes")).alias("compact"))
 
 
-@query(f"""WITH {CELLS}, spot AS ({_where("(SELECT *, " + FOUND + " FROM cells)")}), r AS (SELECT output_offset AS s, output_offset + payload_len AS e FROM spot WHERE {_box(POINT)} <= {_LOAD} AND payload_len > 0),
-m AS (SELECT *, max(e) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach + {GAP} THEN 1 ELSE 0 END) OVER (ORDER BY s) AS island FROM m),
-i AS (SELECT island, count(*) AS n, sum(e - s) AS raw, max(e) - min(s) AS span FROM g GROUP BY island)
-SELECT coalesce(sum(n), 0)::BIGINT AS input_ranges, count(*) AS output_batches, coalesce(sum(raw), 0)::BIGINT AS raw_payload_bytes, coalesce(sum(span), 0)::BIGINT AS total_span_bytes, coalesce(max(span), 0)::BIGINT AS largest_batch_bytes FROM i""")
+_TOUCHED = f"""{CELLS}, spot AS ({_where("(SELECT *, " + FOUND + " FROM cells)")}), r AS (SELECT output_offset AS s, output_offset + payload_len AS e FROM spot WHERE {_box(POINT)} <= {_LOAD} AND payload_len > 0),
+m AS (SELECT *, max(e) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r)"""
+_REPORT = "coalesce(sum(n), 0)::BIGINT AS input_ranges, count(*) AS output_batches, coalesce(sum(raw), 0)::BIGINT AS raw_payload_bytes, coalesce(sum(span), 0)::BIGINT AS total_span_bytes, coalesce(max(span), 0)::BIGINT AS largest_batch_bytes"
+
+
+@query(f"""WITH {_TOUCHED}, g AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach + {GAP} THEN 1 ELSE 0 END) OVER (ORDER BY s) AS island FROM m),
+i AS (SELECT island, count(*) AS n, sum(e - s) AS raw, max(e) - min(s) AS span FROM g GROUP BY island) SELECT {_REPORT} FROM i""")
 def coalesce_ranges(spark, sf_dir):
     placed = layout.payload_offsets(cells(spark, sf_dir))
     return search.coalesce_ranges(placed.where(search.in_shell(POINT, MAGNITUDE, LEVELS)), GAP)
 
 
+@query(f"""WITH {_TOUCHED}, tried(gap) AS (VALUES (0), (16), (256), (4096), (65536)), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR s > reach + gap THEN 1 ELSE 0 END) OVER (PARTITION BY gap ORDER BY s) AS island FROM m, tried),
+i AS (SELECT gap, island, count(*) AS n, sum(e - s) AS raw, max(e) - min(s) AS span FROM g GROUP BY gap, island) SELECT gap, {_REPORT} FROM i GROUP BY gap""")
+def coalesce_gaps(spark, sf_dir):
+    touched = layout.payload_offsets(cells(spark, sf_dir)).where(search.in_shell(POINT, MAGNITUDE, LEVELS))
+    return functools.reduce(DataFrame.unionByName, (search.coalesce_ranges(touched, gap).withColumn("gap", F.lit(gap)) for gap in (0, 16, 256, 4096, 65536)))
+
+
 # --- diffuse light -----------------------------------------------------------------------------------------------
 
 _LOG_T = "log10(least(greatest(teff_s, 2900.0::DOUBLE), 52000.0::DOUBLE))"
