@@ -63,15 +63,13 @@ def near_cells(rows: DataFrame, point: tuple[float, float, float], radius: Calla
     """
     if "morton_code" not in rows.columns:
         return rows
-    keep = F.lit(False)
+    tests = []
     for level in range(last + 1):
         ranges = around(point, radius(level) * (1 + 1e-9) + 1e-6, level, half_size, most)
-        keep = keep | ((F.col("level") == level) & within(ranges) if ranges is not None else F.col("level") == level)
-    return rows.where(keep)
+        tests.append(f"level = {level}" + ("" if ranges is None else f" AND {within(ranges)}"))
+    return rows.where(" OR ".join(f"({t})" for t in tests))
 
 
-def within(ranges: list[tuple[int, int]], morton: str = "morton_code") -> Column:
-    out = F.lit(False)
-    for low, high in ranges:
-        out = out | F.col(morton).between(low, high)
-    return out
+def within(ranges: list[tuple[int, int]], morton: str = "morton_code") -> str:
+    """Whether a Morton code is in one of the ranges, as SQL: one call builds what would be thousands of columns."""
+    return "(" + (" OR ".join(f"{morton} BETWEEN {low} AND {high}" for low, high in ranges) or "false") + ")"
