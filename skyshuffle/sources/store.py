@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +21,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The table of that name of this application, built when first asked for."""
+    """The table of that name of this application, built when first asked for; build may ask for other stored tables."""
     key = (spark.sparkContext.applicationId, name)
     if key not in _STORED:
-        path = f"{shared_folder(spark)}/stored/{key[0]}-{len(_STORED)}"
+        path = f"{shared_folder(spark)}/stored/{key[0]}-{uuid.uuid4().hex}"
         build().write.mode("overwrite").option("compression", "zstd").parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])

@@ -13,6 +13,12 @@ def test_query_agrees_with_sql(spark, name):
     same(queries.QUERIES[name](spark, SF), queries.ORACLES[name], SF)
 
 
+def test_stored_tables_built_within_one_another_keep_apart(spark, monkeypatch):
+    monkeypatch.setattr("skyshuffle.sources.store._STORED", {})  # as in an application that asks for nearest_meta first
+    for name in ("nearest_meta", "nearest", "level_bands"):
+        same(queries.QUERIES[name](spark, SF), queries.ORACLES[name], SF)
+
+
 def test_entry_runs(spark):
     import __spark_entry__
 
