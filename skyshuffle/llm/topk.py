@@ -17,7 +17,8 @@ LEVELS = (1, 2, 4, 8, 16)  # segments per vector, coarse to fine
 QUERY_BLOCK = 16384
 QUERIES, ROWS = 2048, 1024  # queries and candidate rows that are compared at once
 SEEDS = 1024  # candidates whose scores are the first thresholds
-EXACT = 2.0**52
+EXACT, EXACT_SINGLE = 2.0**52, 2.0**23
+DENSE = 16  # survivors of the bounds are multiplied all at once when they are more than one in so many pairs
 
 
 def segment_statistics(x: np.ndarray, segments: int) -> np.ndarray:
@@ -49,14 +50,28 @@ def _integers(column) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarra
     return by
 
 
-class _Best:
+class _Rows:
+    """Some candidates of one width, with what each block of queries asks of them."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray):
+        self.ids, self.x = ids, x
+        self.norm = np.sqrt((x * x).sum(1))
+        self.stats = [segment_statistics(x, s) for s in LEVELS]
+
+    def bounds(self, level: int, at: np.ndarray, slack: bool, kind: type) -> np.ndarray:
+        """The statistics of some rows; two columns more, slack for one of two factors, add to a product what rounding may take from it."""
+        rounding = 1e-5 if kind is np.float32 else 1e-9
+        extra = (rounding * self.norm[at], np.full(len(at), 1e-6)) if slack else (self.norm[at], np.ones(len(at)))
+        return np.column_stack([self.stats[level][at], *extra]).astype(kind)
+
+
+class _Best(_Rows):
     """The k best candidates so far of each query of one width. seeds: some candidates, with their ids; the k-th best score
     among them is a threshold that no result falls below."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, seeds: tuple[np.ndarray, np.ndarray]):
-        self.ids, self.x, self.k = ids, x, k
-        self.stats = [segment_statistics(x, s) for s in LEVELS]
-        self.norm = np.sqrt((x * x).sum(1))
+        super().__init__(ids, x)
+        self.k = k
         self.rows: list[list[tuple]] = [[] for _ in ids]  # (-score, vec_id), ascending
         self.least = np.full(len(ids), -np.inf)
         own, y = seeds
@@ -64,27 +79,38 @@ class _Best:
             scores = np.where(ids[:, None] == own, -np.inf, x @ y.T)
             self.least = np.partition(scores, len(own) - k, axis=1)[:, len(own) - k]
 
-    def add(self, ids: np.ndarray, x: np.ndarray) -> None:
+    def add(self, some: _Rows) -> None:
+        ids, x = some.ids, some.x
         live, rows = np.arange(len(self.ids)), np.arange(len(x))
-        norm = np.sqrt((x * x).sum(1))
-        slack = 1e-9 * np.outer(self.norm, norm) + 1e-6
+        # No partial sum passes the product of the norms: below 2^23, single precision holds all integers that occur.
+        kind = np.float32 if self.norm.max(initial=1) * some.norm.max(initial=1) < EXACT_SINGLE else np.float64
         mask = self.ids[:, None] != ids[None, :]
-        for level, segments in enumerate(LEVELS):
-            bound = self.stats[level][live] @ segment_statistics(x[rows], segments).T + slack[np.ix_(live, rows)]
-            mask &= bound >= self.least[live][:, None]
+        for level in range(len(LEVELS)):
+            bound = self.bounds(level, live, True, kind) @ some.bounds(level, rows, False, kind).T
+            mask &= ~(bound < self.least[live].astype(kind)[:, None])
             q, r = mask.any(1), mask.any(0)
-            live, rows, mask = live[q], rows[r], mask[np.ix_(q, r)]
-            if not len(live):
+            if not q.any():
                 return
-        qi, xi = np.nonzero(mask)
-        qi, xi = live[qi], rows[xi]
-        if self.x.size and np.abs(self.x).max() * np.abs(x).max() * x.shape[1] < EXACT:
-            scores = np.concatenate([np.einsum("ij,ij->i", self.x[qi[s : s + 65536]], x[xi[s : s + 65536]]) for s in range(0, len(qi), 65536)])
+            if not (q.all() and r.all()):
+                live, rows, mask = live[q], rows[r], mask[np.ix_(q, r)]
+        whole = not self.x.size or np.abs(self.x).max() * np.abs(x).max() * x.shape[1] < EXACT
+        if whole and np.count_nonzero(mask) * DENSE > mask.size:  # one product of matrices takes less than a product for each pair
+            scores = self.x[live].astype(kind) @ x[rows].astype(kind).T
+            mask &= scores >= self.least[live].astype(kind)[:, None]
+            qi, xi = np.nonzero(mask)
+            scores, qi, xi = scores[qi, xi].astype(np.float64), live[qi], rows[xi]
         else:
-            exact = lambda v: [int(c) for c in v]
-            scores = np.array([sum(a * b for a, b in zip(exact(self.x[i]), exact(x[j]), strict=True)) for i, j in zip(qi, xi, strict=True)], object)
-        fine = scores >= self.least[qi]
-        qi, xi, scores = qi[fine], xi[fine], scores[fine]
+            qi, xi = np.nonzero(mask)
+            qi, xi = live[qi], rows[xi]
+            if whole:
+                scores = np.concatenate([np.einsum("ij,ij->i", self.x[qi[s : s + 65536]], x[xi[s : s + 65536]]) for s in range(0, len(qi), 65536)])
+            else:
+                exact = lambda v: [int(c) for c in v]
+                scores = np.array([sum(a * b for a, b in zip(exact(self.x[i]), exact(x[j]), strict=True)) for i, j in zip(qi, xi, strict=True)], object)
+            fine = scores >= self.least[qi]
+            qi, xi, scores = qi[fine], xi[fine], scores[fine]
+        if not len(qi):  # bounds let pairs pass of which none is good enough
+            return
         order = np.lexsort((ids[xi], -scores.astype(float), qi)) if scores.dtype != object else np.array(sorted(range(len(qi)), key=lambda j: (qi[j], -scores[j], ids[xi[j]])), np.int64)
         starts = np.flatnonzero(np.diff(qi[order], prepend=-1))
         for a, b in zip(starts, np.append(starts[1:], len(order)), strict=True):
@@ -105,8 +131,9 @@ def _searcher(ids: np.ndarray, vectors: pa.Array, k: int, seed_ids: np.ndarray,
             own = batch.column(0).to_numpy(zero_copy_only=False)
             for n, (at, x) in _integers(batch.column(1)).items():
                 for s in range(0, len(at) if n in best else 0, ROWS):
-                    for some in best[n]:
-                        some.add(own[at[s : s + ROWS]].astype(np.int64), x[s : s + ROWS])
+                    some = _Rows(own[at[s : s + ROWS]].astype(np.int64), x[s : s + ROWS])
+                    for block in best[n]:
+                        block.add(some)
         rows = [(int(q), v, max(-(2**63), min(2**63 - 1, -s))) for some in best.values() for b in some for q, found in zip(b.ids, b.rows, strict=True) for s, v in found]
         yield pa.record_batch([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], ["query_id", "vec_id", "score"])
 

@@ -334,6 +334,38 @@ def test_topk_by_brute_force(spark, monkeypatch):
     assert topk.top_k(df.limit(0), df).count() == 0
 
 
+def test_topk_of_batches_that_hold_no_result(spark):
+    """The bounds let candidates pass whose exact scores are all too low."""
+    rng = np.random.default_rng(5)
+    data = [(int(k), [float(v) for v in rng.normal(0, 0.2, 64).astype(np.float32)]) for k in range(200)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>").coalesce(1)
+    e = [[math.floor(256 * v) for v in x] for _, x in data]
+    want = []
+    for q in range(0, 200, 50):
+        found = sorted((-sum(a * b for a, b in zip(e[q], e[i])), i) for i in range(200) if i != q)[:5]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(found, 1)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        assert sorted(tuple(r) for r in topk.top_k(df.where("vec_id % 50 = 0"), df).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+@pytest.mark.parametrize("scale", [1.0, 60.0, 1e7, 1e12])  # single precision, double, beyond doubles' integers
+def test_topk_is_exact_at_any_scale_and_density(scale):
+    rng = np.random.default_rng(6)
+    centre = rng.normal(0, 1, (5, 16))[rng.integers(0, 5, 300)]
+    for x in (rng.normal(0, 50, (300, 16)), 200 * centre + rng.normal(0, 1, (300, 16))):  # bounds drop hardly any; nearly all
+        x, ids = np.floor(x * scale), np.arange(300)
+        best = topk._Best(ids[::50], x[::50], 5, (ids[:20], x[:20]))
+        for s in range(0, 300, 60):
+            best.add(topk._Rows(ids[s : s + 60], x[s : s + 60]))
+        whole = [[int(v) for v in row] for row in x]
+        for q, found in zip(ids[::50], best.rows):
+            assert found == sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), int(i)) for i in ids if i != q)[:5]
+
+
 def test_bounds_are_bounds():
     x = np.random.default_rng(1).normal(0, 50, (60, 64))
     exact, last = x @ x.T, None
