@@ -15,7 +15,7 @@ from .common import map_batches, saved, saved_parts
 LEVELS = (1, 2, 4, 8, 16)  # segments per vector, coarse to fine
 #: Queries are sent to the tasks in blocks of about so many; each block reads the candidates once.
 QUERY_BLOCK = 16384
-QUERIES, ROWS = 2048, 1024  # queries and candidate rows that are compared at once
+QUERIES, ROWS = 512, 1024  # queries and candidate rows that are compared at once
 SEEDS = 1024  # candidates whose scores are the first thresholds
 EXACT, EXACT_SINGLE = 2.0**52, 2.0**23
 DENSE = 16  # survivors of the bounds are multiplied all at once when they are more than one in so many pairs
@@ -84,21 +84,23 @@ class _Best(_Rows):
         live, rows = np.arange(len(self.ids)), np.arange(len(x))
         # No partial sum passes the product of the norms: below 2^23, single precision holds all integers that occur.
         kind = np.float32 if self.norm.max(initial=1) * some.norm.max(initial=1) < EXACT_SINGLE else np.float64
-        mask = self.ids[:, None] != ids[None, :]
+        mask, own = np.ones((len(live), len(rows)), bool), np.isin(self.ids, ids)
+        mask[own] = self.ids[own, None] != ids
         for level in range(len(LEVELS)):
             bound = self.bounds(level, live, True, kind) @ some.bounds(level, rows, False, kind).T
             mask &= ~(bound < self.least[live].astype(kind)[:, None])
             q, r = mask.any(1), mask.any(0)
             if not q.any():
                 return
-            if not (q.all() and r.all()):
-                live, rows, mask = live[q], rows[r], mask[np.ix_(q, r)]
+            if 4 * np.count_nonzero(q) * np.count_nonzero(r) < 3 * mask.size:  # else a smaller table saves less than its copy takes
+                live, rows, mask = live[q], rows[r], mask[q][:, r]
         whole = not self.x.size or np.abs(self.x).max() * np.abs(x).max() * x.shape[1] < EXACT
         if whole and np.count_nonzero(mask) * DENSE > mask.size:  # one product of matrices takes less than a product for each pair
             scores = self.x[live].astype(kind) @ x[rows].astype(kind).T
             mask &= scores >= self.least[live].astype(kind)[:, None]
-            qi, xi = np.nonzero(mask)
-            scores, qi, xi = scores[qi, xi].astype(np.float64), live[qi], rows[xi]
+            at = np.flatnonzero(mask)
+            qi, xi = np.divmod(at, len(rows))
+            scores, qi, xi = scores.ravel()[at].astype(np.float64), live[qi], rows[xi]
         else:
             qi, xi = np.nonzero(mask)
             qi, xi = live[qi], rows[xi]
